@@ -1 +1 @@
-"""See README.md."""
+"""Operators: functions from DataFrames to DataFrames."""
