@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.llm import canonical, encode, forest, terms
+from grainmill.llm import canonical, encode, forest, leaks, packing, terms, toxic
 from grainmill.session import materialize
 
 
@@ -15,6 +15,17 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def p2_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The block of every pair, pairs longer than a block in pieces."""
+    capacity = _table(spark, sf, "presets").where("preset = 'help_core'").first()["seq_len"]
+    return packing.pack(_table(spark, sf, "pairs"), "pair_id", packing.pair_length(), capacity)
+
+
+def p2_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """How many blocks there are by how full they are."""
+    return p2_blocks(spark, sf).groupBy("block").agg(F.sum("piece_len").alias("fill")).groupBy("fill").agg(F.count("*").alias("n_blocks"))
+
+
 def p3_groups(spark: SparkSession, sf: str) -> DataFrame:
     """One row for every answer of 12 or more words: its group and the number of its links."""
     return forest.near_groups(_table(spark, sf, "answers"))
@@ -52,7 +63,36 @@ def p6_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return encode.decode(encode.encode(_table(spark, sf, "documents")))
 
 
+def _p7(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks.leaks(_table(spark, sf, "documents"), _table(spark, sf, "eval_items"))
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _p7(spark, sf).select("doc_id", "item_id")
+
+
+def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every leak with the words covered and the least number of word edits."""
+    return _p7(spark, sf)
+
+
+def p8_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The score of every document."""
+    return toxic.scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p8_scores(spark, sf).where(F.col("score") >= toxic.THRESHOLD).select("doc_id").distinct()
+
+
+def p8_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """The rate of flagged documents for each source."""
+    return toxic.source_rates(p8_scores(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_blocks": p2_blocks,
+    "p2_fill": p2_fill,
     "p3_found": p3_found,
     "p3_groups": p3_groups,
     "p4_found": p4_found,
@@ -61,6 +101,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_terms": p5_terms,
     "p6_ids": p6_ids,
     "p6_round_trip": p6_round_trip,
+    "p7_found": p7_found,
+    "p7_leaks": p7_leaks,
+    "p8_found": p8_found,
+    "p8_scores": p8_scores,
+    "p8_rates": p8_rates,
 }
 
 _WORDS = r"trim(regexp_replace(lower(coalesce({0}, '')), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"

@@ -94,13 +94,6 @@ def marked_terms(records: DataFrame, id_col: str = "block_id", fields: tuple[str
     rare: in at most ``rare`` records; common: in more than 1/common_one_in of all distinct ids. A term that is both
     (in tiny tables) is rare. The other rules are those of ``term_counts``.
     """
-    return (
-        term_counts(records, id_col, fields)
-        .crossJoin(F.broadcast(n_records(records, id_col)))  # one row
-        .select(
-            "term",
-            "occurrences",
-            "records",
-            F.when(F.col("records") <= rare, "rare").when(F.col("records") * common_one_in > F.col("n_records"), "common").alias("mark"),
-        )
-    )
+    n = n_records(records, id_col).first()[0]  # one number
+    mark = F.when(F.col("records") <= rare, "rare").when(F.col("records") * common_one_in > n, "common")
+    return term_counts(records, id_col, fields).withColumn("mark", mark)
