@@ -89,6 +89,21 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"slot": at, "n": total[at]})
 
 
+def _levels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All counters as one row of bytes, on a logarithmic scale: 0 none, 1 one, from 2 on 8 steps for each doubling."""
+    level = np.zeros(2 << ROW_BITS, np.uint8)
+    for b in batches:
+        n = b["n"].to_numpy(np.float64)
+        level[b["slot"].to_numpy(np.int64)] = np.where(n < 2, 1, np.minimum(255, np.round(8 * np.log2(np.maximum(n, 2))) - 6))
+    yield pd.DataFrame({"level": [level.tobytes()]})
+
+
+def sketch_counts(level: bytes) -> np.ndarray:
+    """The counts that the bytes of ``_levels`` stand for."""
+    x = np.frombuffer(level, np.uint8).astype(np.float32)
+    return np.where(x < 2, x, 2 ** ((x + 6) / 8)).astype(np.float32)
+
+
 def _signatures(counts, n_docs: int):
     """(rep, sig) for texts that can have a partner at all: at least half of their shingles occur elsewhere too."""
     seeds = _mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
@@ -286,9 +301,8 @@ def near_edges(reps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Rows (lo, hi, shared, longer): verified links between different texts, for rows (rep, t)."""
     spark = reps.sparkSession
     n_docs = reps.count()
-    slots = reps.select("t").mapInPandas(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()  # 2 << ROW_BITS rows at most
-    counts = np.zeros(2 << ROW_BITS, np.float32)
-    counts[slots["slot"].to_numpy(np.int64)] = slots["n"].to_numpy(np.float32)
+    slots = reps.select("t").mapInPandas(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    counts = sketch_counts(slots.coalesce(1).mapInPandas(_levels, "level binary").first()["level"])  # 2 << ROW_BITS bytes
     sigs = materialize(reps.mapInPandas(_signatures(spark.sparkContext.broadcast(counts), max(n_docs, 1)), "rep long, sig binary"), "sigs")
     out = "lo long, hi long, tree int, key binary, rep long, sketch binary"
     planted = sigs.mapInArrow(_plant, "tree int, key binary, rep long, sketch binary")
