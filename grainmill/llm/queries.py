@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.llm import canonical, encode, forest, leaks, packing, terms, toxic
+from grainmill.llm import canonical, defects, encode, forest, leaks, packing, terms, toxic
 from grainmill.session import materialize
 
 
@@ -15,6 +15,15 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return defects.defects(_table(spark, sf, "blocks")).select("block_id", "defect")
+
+
+def p1_defects(spark: SparkSession, sf: str) -> DataFrame:
+    """Every defect of every defective pair, one row each."""
+    return defects.defects(_table(spark, sf, "blocks")).select("block_id", F.explode("defects").alias("defect"))
+
+
 def p2_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """The block of every pair, pairs longer than a block in pieces."""
     capacity = _table(spark, sf, "presets").where("preset = 'help_core'").first()["seq_len"]
@@ -91,6 +100,8 @@ def p8_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_defects": p1_defects,
     "p2_blocks": p2_blocks,
     "p2_fill": p2_fill,
     "p3_found": p3_found,
