@@ -1,19 +1,6 @@
 """Queries over the corpus tables and the SQL they are compared with."""
 
-from __future__ import annotations
+from grainmill.plans import profile  # noqa: F401
+from grainmill.plans.base import QUERIES, SQL
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-
-def _answer_frequency_top(spark: SparkSession, sf: str) -> DataFrame:
-    a = spark.read.parquet(f"{sf}/answers.parquet").where("trim(a) <> ''")
-    return a.groupBy("a").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "a").limit(30)
-
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"answer_frequency_top": _answer_frequency_top}
-SQL: dict[str, str] = {
-    "answer_frequency_top": "SELECT a, count(*) AS n FROM answers WHERE trim(a) <> '' GROUP BY a ORDER BY n DESC, a LIMIT 30"
-}
+__all__ = ["QUERIES", "SQL"]
