@@ -88,3 +88,41 @@ def _cycle_members(cur: DataFrame) -> DataFrame:
         if not same:
             break
     return least.select("s", "least")
+
+
+def walks(nodes: DataFrame, edges: DataFrame, name: str = "name", src: str = "src", dst: str = "dst", max_depth: int = 50) -> DataFrame:
+    """(base, at, path): every node reached from every root (a node nothing points at), with the way there.
+
+    A walk ends where it would meet a node it already holds, so cycles end; cycles without a root are not reached.
+    """
+    e = edges.select(F.col(src).alias("s"), F.col(dst).alias("d")).where("s is not null and d is not null").distinct()
+    roots = nodes.select(F.col(name).alias("base")).distinct().join(e.select(F.col("d").alias("base")), "base", "left_anti")
+    front = materialize(roots.select("base", F.col("base").alias("at"), F.array("base").alias("seen")), "walk")
+    out = front
+    for _ in range(max_depth):
+        front = materialize(front.join(e, front["at"] == e["s"]).where(~F.array_contains("seen", F.col("d"))).select("base", F.col("d").alias("at"), F.concat("seen", F.array("d")).alias("seen")), "walk")
+        if not front.limit(1).count():
+            break
+        out = out.unionByName(front)
+    return out.select("base", "at", F.array_join("seen", " > ").alias("path"))
+
+
+def chains(nodes: DataFrame, edges: DataFrame, name: str = "name", src: str = "src", dst: str = "dst") -> DataFrame:
+    """(base, final, path): the walks that end in a node without a further edge."""
+    w = walks(nodes, edges, name, src, dst)
+    return w.join(edges.select(F.col(src).alias("at")), "at", "left_anti").select("base", F.col("at").alias("final"), "path")
+
+
+def tree_edges(df: DataFrame, tree: str, name: str, children: str, depth: int) -> DataFrame:
+    """(src, dst) of JSON trees down to a depth: each node's name with those of its children."""
+    level = df.select(F.parse_json(tree).alias("t"))
+    out = None
+    for _ in range(depth):
+        kids = level.select(
+            F.try_variant_get("t", f"$.{name}", "string").alias("src"),
+            F.explode(F.try_variant_get("t", f"$.{children}", "array<variant>")).alias("t"),
+        )
+        here = kids.select("src", F.try_variant_get("t", f"$.{name}", "string").alias("dst"))
+        out = here if out is None else out.unionByName(here)
+        level = kids.select("t")
+    return out

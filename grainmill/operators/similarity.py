@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from grainmill.functions.text import body_of, lead_of, squeeze, tokens, verb_key, verb_led
 from grainmill.operators.graph import connected_components, resolve_map
-from grainmill.session import materialize
+from grainmill.session import hot_split_join, materialize
 
 
 def near_pairs(texts: DataFrame, text: str = "a", parts: int = 4, whole: int = 3, least_words: int = 4) -> DataFrame:
@@ -22,7 +22,8 @@ def near_pairs(texts: DataFrame, text: str = "a", parts: int = 4, whole: int = 3
     sets = t.select(F.col("x"), F.array_distinct(tokens("t")).alias("w")).where(F.size("w") >= least_words)
     sets = materialize(sets.select("x", "w", F.size("w").alias("m"), F.xxhash64("x").alias("h")), "sets")
     df = sets.select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    posted = sets.select("h", "m", F.explode("w").alias("word")).join(df, "word")
+    # the words of the language are in very many sets: hot words are joined apart
+    posted = hot_split_join(sets.select("h", "m", F.explode("w").alias("word")), materialize(df.withColumn("n", F.col("df")), "df"), "word", "n")
     ranked = posted.groupBy("h", "m").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("s"))
     need = F.ceil(F.col("m") * whole / parts)
     rare = ranked.select(F.col("h").alias("h1"), F.col("m").alias("m1"), F.explode(F.slice("s", F.lit(1), (F.col("m") - need + 1).cast("int"))).alias("s")).select("h1", "m1", F.col("s.word").alias("word"))
