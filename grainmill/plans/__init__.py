@@ -1,6 +1,6 @@
 """Queries over the corpus tables and the SQL they are compared with."""
 
-from grainmill.plans import profile, quality, rules, similar  # noqa: F401
+from grainmill.plans import profile, quality, rules, similar, tokens  # noqa: F401
 from grainmill.plans.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -186,7 +186,7 @@ def source_commands(texts: DataFrame, text: str = "text", shortest: int = 2, lon
         F.regexp_extract_all(F.col(text), F.lit(r'\{\s*"([a-z][a-z0-9_ ]+)"'), F.lit(1)),
         F.regexp_extract_all(F.col(text), F.lit(r'registerCommand\s*\(\s*"([a-z][a-z0-9_ ]+)"'), F.lit(1)),
     )
-    c = texts.select(F.lower(F.trim(F.explode(found))).alias("command"))
+    c = texts.select(F.explode(found).alias("command")).select(F.lower(F.trim("command")).alias("command"))
     return c.where(F.length("command").between(shortest, longest)).distinct()
 
 
