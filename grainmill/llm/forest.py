@@ -302,7 +302,8 @@ def near_edges(reps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     spark = reps.sparkSession
     n_docs = reps.count()
     slots = reps.select("t").mapInPandas(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    counts = sketch_counts(slots.coalesce(1).mapInPandas(_levels, "level binary").first()["level"])  # 2 << ROW_BITS bytes
+    row = slots.coalesce(1).mapInPandas(_levels, "level binary").first()  # 2 << ROW_BITS bytes, none for an empty table
+    counts = sketch_counts(row["level"] if row else bytes(2 << ROW_BITS))
     sigs = materialize(reps.mapInPandas(_signatures(spark.sparkContext.broadcast(counts), max(n_docs, 1)), "rep long, sig binary"), "sigs")
     out = "lo long, hi long, tree int, key binary, rep long, sketch binary"
     planted = sigs.mapInArrow(_plant, "tree int, key binary, rep long, sketch binary")

@@ -134,8 +134,9 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         parts.append(x ^ (x >> np.uint64(29)))
         where.append(pas[:-gap][same])
     f, w = np.concatenate(parts), np.concatenate(where)
-    order = np.argsort(w, kind="stable")
-    f, w = (f[order] >> np.uint64(64 - BITS)).astype(np.int64), w[order]
+    # every feature once in a passage, however often it repeats
+    both = np.unique((w.astype(np.int64) << BITS) | (f >> np.uint64(64 - BITS)).astype(np.int64))
+    f, w = both & ((1 << BITS) - 1), both >> BITS
     return f, np.searchsorted(w, np.arange(len(sizes))), np.array(owner)
 
 
@@ -197,7 +198,7 @@ def fit(texts: list[str], y: np.ndarray) -> Ftrl:
     """
     f, starts, owner = features(texts)
     ends = np.r_[starts[1:], len(f)]
-    bags = [np.unique(f[a:e]) for a, e in zip(starts, ends)]
+    bags = [f[a:e] for a, e in zip(starts, ends)]
     rng = np.random.default_rng(SEED)
     # equal texts go to one half
     half = (pd.util.hash_array(np.array(texts, dtype=object), categorize=False) % 2).astype(int) if texts else np.empty(0, int)
@@ -223,7 +224,8 @@ def fit(texts: list[str], y: np.ndarray) -> Ftrl:
     # few ratings give cautious scores: move the border to where hardly any text of the other half that is rated 0 lies
     calm = top[(y == 0) & (top < MOST)] if len(owner) and ROUNDS else np.empty(0)
     if len(calm):
-        model.shift = -float(np.clip(np.quantile(calm, 0.995) + MARGIN, FLOOR, 0.0))
+        # (a passage of which nothing is known stays below it)
+        model.shift = -float(np.clip(np.quantile(calm, 0.995) + MARGIN, min(max(FLOOR, model.bias() + MARGIN), 0.0), 0.0))
     return model
 
 
