@@ -60,28 +60,30 @@ def materialize(df: DataFrame, what: str = "t") -> DataFrame:
 HOT_SHARE = 1 / 2000
 
 
-def hot_split_join(rows: DataFrame, lookup: DataFrame, key: str, n_col: str, how: str = "inner") -> DataFrame:
+def hot_split_join(rows: DataFrame, lookup: DataFrame, key: str, n_col: str, how: str = "inner", keep_key: bool = True) -> DataFrame:
     """Join many rows with a lookup that has one row per string key, where any key may hold a third of all rows.
 
     ``lookup`` carries in ``n_col`` how many rows each key has. Keys above HOT_SHARE of the total are at most
     1/HOT_SHARE many whatever the data, so their lookup rows are broadcast; the rest meets in a shuffle join. Rows
     already answered by the broadcast travel under a made-up key each, so no task receives a hot key. ``rows`` is
-    evaluated once. ``how`` is inner or left. Pass a ``lookup`` that is cheap to read twice (a written table).
+    evaluated once. ``how`` is inner or left. Pass a ``lookup`` that is cheap to read twice (a written table). Without
+    ``keep_key`` the key isn't part of the result, and hot keys don't travel.
     """
     value = [c for c in lookup.columns if c not in (key, n_col)]
     total = lookup.agg(F.sum(n_col)).first()[0] or 0
     limit = max(1.0, total * HOT_SHARE)
     hot = lookup.where(F.col(n_col) > limit).select(F.col(key).alias("_hk"), F.struct(*value).alias("_hv"))
     cold = lookup.where(F.col(n_col) <= limit).select(F.col(key).alias("_ck"), F.struct(*value).alias("_cv"))
-    spread = F.concat(F.lit("\u0001"), F.xxhash64(*rows.columns).cast("string"))
+    spread = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(*rows.columns), F.lit(99_991)).cast("string"))
     marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left").withColumn(
         "_jk", F.when(F.col("_hk").isNotNull() | F.col(key).isNull(), spread).otherwise(F.col(key))
     )
-    joined = marked.join(cold.hint("shuffle_merge"), F.col("_jk") == F.col("_ck"), "left")
+    kept = [c for c in rows.columns if keep_key or c != key]
+    joined = marked.select(*kept, "_hv", "_jk").join(cold.hint("shuffle_merge"), F.col("_jk") == F.col("_ck"), "left")
     if how == "inner":
         joined = joined.where(F.col("_hv").isNotNull() | F.col("_cv").isNotNull())
     got = F.coalesce("_hv", "_cv")
-    return joined.select(*rows.columns, *[got[c].alias(c) for c in value])
+    return joined.select(*kept, *[got[c].alias(c) for c in value])
 
 
 def ratio_bucket(*cols: Column | str, n: int) -> Column:
