@@ -59,9 +59,9 @@ def encode(
     )
     words = pieces.where(F.col("word").isNotNull()).groupBy("word").agg(F.count("*").alias("n"))
     encoded = materialize(words.mapInPandas(_encode_words(path), "word string, n long, piece array<int>"), "words")
-    joined = hot_split_join(pieces, encoded, "word", "n", "left")
+    joined = hot_split_join(pieces, encoded, "word", "n", "left", keep_key=False)
     one = joined.groupBy("_id", "_h").agg(
-        F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("_p", "piece")))).alias("_l")
+        F.array_sort(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("_p", "piece")))).alias("_l")
     )
     # identical rows repeat every position equally often: keep one of each
     times = F.expr("size(_l) div (element_at(_l, -1)._p + 1)")
