@@ -65,6 +65,58 @@ def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return out
 
 
+def fullest_first(lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """The bin number of each length, by best fit of whole bins: the longest item left gets the items that fill its bin best.
+
+    Among equally full fillings the one with the longest items is taken, so short ones stay for later. A filling is
+    used for as many bins as the counts of its lengths allow, so the work depends on the capacity and not on the number
+    of items. Again any two bins together hold more than one capacity, as no item left over fits any earlier bin.
+    """
+    out = np.zeros(len(lengths), np.int64)
+    order = np.argsort(lengths, kind="stable")
+    left = np.bincount(lengths, minlength=capacity + 1).tolist()
+    ends = np.cumsum(left)
+    n_bins = 0
+    sizes = [x for x in range(1, capacity + 1) if left[x]]
+    while sizes:
+        top = sizes[-1]
+        room = capacity - top
+        left[top] -= 1
+        reach, upto = [1], (1 << (room + 1)) - 1
+        usable = [x for x in sizes if x <= room and left[x]]
+        for x in usable:
+            r = now = reach[-1]
+            for _ in range(min(left[x], room // x)):
+                now = (now << x) & upto
+                r |= now
+            reach.append(r)
+        left[top] += 1
+        rest = reach[-1].bit_length() - 1
+        pattern = {top: 1}
+        for k in range(len(usable) - 1, -1, -1):
+            x, most = usable[k], min(left[usable[k]] - (usable[k] == top), rest // usable[k])
+            for n in range(most, -1, -1):
+                if reach[k] >> (rest - n * x) & 1:
+                    break
+            if n:
+                pattern[x] = pattern.get(x, 0) + n
+                rest -= n * x
+        times = min(left[x] // n for x, n in pattern.items())
+        for x, n in pattern.items():
+            items = order[ends[x] - left[x] : ends[x] - left[x] + times * n]
+            out[items] = n_bins + np.arange(times * n) // n
+            left[x] -= times * n
+        n_bins += times
+        sizes = [x for x in sizes if left[x]]
+    return out
+
+
+def pack_bins(lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """The better of the two best-fit packings."""
+    a, b = best_fit(lengths, capacity), fullest_first(lengths, capacity)
+    return b if len(lengths) and b.max() < a.max() else a
+
+
 def pieces_of(items: DataFrame, id_col: str, length: Column, capacity: int) -> DataFrame:
     """(id, piece_no, piece_len): each distinct id once; lengths above the capacity cut into full pieces and a rest."""
     one = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), length.cast("long").alias("n"))
@@ -77,7 +129,7 @@ def pieces_of(items: DataFrame, id_col: str, length: Column, capacity: int) -> D
 def _pack_items(capacity: int):
     def run(key, b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values(["id", "piece_no"], kind="stable")
-        bins = best_fit(b["piece_len"].to_numpy(np.int64), capacity)
+        bins = pack_bins(b["piece_len"].to_numpy(np.int64), capacity)
         return b[["id", "piece_no", "piece_len"]].assign(bin=(np.int64(key[0]) << 32) + bins)
 
     return run
@@ -86,7 +138,7 @@ def _pack_items(capacity: int):
 def _pack_bins(capacity: int):
     def run(key, b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values("bin", kind="stable")
-        to = best_fit(b["fill"].to_numpy(np.int64), capacity)
+        to = pack_bins(b["fill"].to_numpy(np.int64), capacity)
         first = b.groupby(to)["bin"].transform("min")
         fill = b.groupby(to)["fill"].transform("sum")
         return pd.DataFrame({"old": b["bin"], "bin": first.astype("int64"), "fill": fill.astype("int64")})

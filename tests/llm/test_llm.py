@@ -65,10 +65,12 @@ def test_best_fit_invariants(seed):
     r = np.random.default_rng(seed)
     for cap in (1, 7, 128):
         n = r.integers(0, cap + 1, 300)
-        b = packing.best_fit(n, cap)
-        fill = np.bincount(b, n)
-        assert fill.max() <= cap and (np.sort(fill[fill > 0])[:2].sum() > cap or (fill > 0).sum() < 2)
-    assert len(packing.best_fit(np.empty(0, np.int64), 5)) == 0
+        for way in (packing.best_fit, packing.fullest_first, packing.pack_bins):
+            b = way(n, cap)
+            fill = np.bincount(b, n)
+            assert fill.max() <= cap and (np.sort(fill[fill > 0])[:2].sum() > cap or (fill > 0).sum() < 2)
+    assert len(packing.pack_bins(np.empty(0, np.int64), 5)) == 0
+    assert packing.pack_bins(np.array([7, 5, 5, 4, 4, 3]), 14).max() == 1
 
 
 def test_pack_keeps_everything(spark):
