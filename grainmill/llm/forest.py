@@ -1,17 +1,18 @@
 """Groups of texts that differ by small edits, over a collection too large for pairwise comparison.
 
-Method: an LSH forest. Every text gets several signatures of weighted min-hashes of its pairs of neighbouring words;
-each signature is a sorted order of its own, neighbours with a long common prefix are candidates, and the depth at
-which they are compared adapts to how crowded the region is. Candidates are then verified exactly.
+Method: an exact prefix join. The pairs of neighbouring words of every text are put in one order, rare ones first. Two
+texts that share k of them have the first shared one among the first n - k + 1 of either, so every text is listed under
+its first ones only, and the texts of one list are compared exactly. No link is lost, whatever the order.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,19 +20,12 @@ from grainmill.llm.canonical import words_text
 from grainmill.operators.graph import connected_components
 from grainmill.session import hot_split_join, materialize
 
-TREES = 24
-DEPTH = 5
-#: Depth from which texts of one region are compared; a region of more texts than CROWDED goes deeper.
-SHALLOW = 2
-CROWDED = 192
-#: Neighbours compared in a crowded region besides those with the longer prefix.
-NEAR = 6
-#: Regions of up to so many texts are compared for a whole batch at once.
-SMALL = 8
-#: Share of equal min-hashes below which a candidate isn't verified. Texts at the least similarity 0.5 share 0.3.
-SKETCH_SHARE = 0.16
-SKETCH = 80
-#: The count sketch of shingles: two rows of this many counters, whatever the size of the collection.
+#: Lists of more texts than this are compared block by block.
+CROWDED = 2000
+#: Texts of up to so many shingles carry them along; pairs with a longer text are compared by their texts afterwards.
+LONG = 256
+#: The count sketch of shingles: two rows of this many counters, whatever the size of the collection. Counts only settle
+#: the order of shingles, so one that is too high costs time and no link.
 ROW_BITS = 19
 MIN_WORDS = 12
 SIMILARITY = 0.5
@@ -104,9 +98,13 @@ def sketch_counts(level: bytes) -> np.ndarray:
     return np.where(x < 2, x, 2 ** ((x + 6) / 8)).astype(np.float32)
 
 
-def _signatures(counts, n_docs: int):
-    """(rep, sig) for texts that can have a partner at all: at least half of their shingles occur elsewhere too."""
-    seeds = _mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
+def _least(n: int, similarity: float) -> int:
+    """How many shingles a text of n must share at least."""
+    return max(1, math.ceil(n * similarity - 1e-9))
+
+
+def _listed(counts, similarity: float):
+    """(rep, n, s, pre): the number of shingles, all of them in order (null beyond LONG), and those it is listed under."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df = counts.value
@@ -116,161 +114,59 @@ def _signatures(counts, n_docs: int):
                 h, starts = shingles(list(b["t"]))
                 x, y = _slots(h)
                 f = np.minimum(df[x], df[y])
-                shared = f >= 2
-                n = np.diff(np.r_[starts, len(h)])
-                k = np.add.reduceat(shared.astype(np.int64), starts)
-                ok = 2 * k >= n
-                if not ok.any():
-                    continue
-                use = shared & np.repeat(ok, n)
-                hu, w = h[use], np.log1p(n_docs / f[use]).astype(np.float32) ** 2
-                k = k[ok]
-                begins = np.r_[0, np.cumsum(k)[:-1]]
-                sig = np.empty((len(k), len(seeds)), np.uint32)
-                low = hu & _U(0xFFFFFFFF)
-                for j, s in enumerate(seeds):
-                    u = ((_mix(hu ^ s) >> _U(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24)
-                    e = -np.log(u) / w
-                    packed = (e.view(np.uint32).astype(np.uint64) << _U(32)) | low
-                    sig[:, j] = (np.minimum.reduceat(packed, begins) & _U(0xFFFFFFFF)).astype(np.uint32)
-                yield pd.DataFrame({"rep": b["rep"].to_numpy()[ok], "sig": [s.astype(">u4").tobytes() for s in sig]})
+                doc = np.repeat(np.arange(len(b)), np.diff(np.r_[starts, len(h)]))
+                order = np.lexsort((h, f, doc))
+                h, f = h[order].view(np.int64), f[order]
+                n, s, pre = np.diff(np.r_[starts, len(h)]), [], []
+                for i, m in zip(starts, n):
+                    k = i + max(0, m - _least(m, similarity) + 1)
+                    s.append(h[i : i + m].tobytes() if m <= LONG else None)
+                    pre.append(h[i:k][f[i:k] >= 2])  # a count of 1 is exact: no other text has it
+                yield pd.DataFrame({"rep": b["rep"].to_numpy(), "n": n, "s": s, "pre": pre})
 
     return run
 
 
-def _pack(rows: np.ndarray) -> pa.Array:
-    """A binary column of the rows of a byte matrix."""
-    n, width = rows.shape
-    offsets = np.arange(n + 1, dtype=np.int32) * np.int32(width)
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
-
-
-def _unpack(column: pa.Array, width: int) -> np.ndarray:
-    """The byte matrix of a binary column whose values are all ``width`` long."""
-    _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, np.int32)[column.offset]
-    return np.frombuffer(data, np.uint8)[at : at + len(column) * width].reshape(len(column), width)
-
-
-def _plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each text and tree: (tree, key, rep, sketch)."""
-    for b in batches:
-        n = b.num_rows
-        if not n:
-            continue
-        sig = _unpack(b.column(1), 4 * TREES * DEPTH).reshape(n, TREES, 4 * DEPTH)
-        sketch = _pack(sig.reshape(n, TREES * DEPTH, 4)[:, :SKETCH, 3])  # the lowest byte of the hash
-        for t in range(TREES):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, t, np.int32)), _pack(sig[:, t]), b.column(0), sketch], names=["tree", "key", "rep", "sketch"])
-
-
-def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a == b).sum(-1, dtype=np.int32) >= SKETCH_SHARE * SKETCH
-
-
-class _Region:
-    """Candidates among rows that share the first SHALLOW hashes of a tree; ``carry`` links consecutive chunks."""
-
-    def __init__(self) -> None:
-        self.pairs: list[np.ndarray] = []
-
-    def emit(self, a: np.ndarray, b: np.ndarray) -> None:
-        if len(a):
-            self.pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
-
-    def compare(self, keys: np.ndarray, reps: np.ndarray, sk: np.ndarray, depth: int = SHALLOW) -> list[int]:
-        """Row numbers of leaders, which stand for the region when it continues elsewhere."""
-        m = len(reps)
-        if m < 2:
-            return [0]
-        if m <= CROWDED:
-            i, j = np.triu_indices(m, 1)
-            for at in range(0, len(i), 1 << 14):
-                x, y = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
-                c = _close(sk[x], sk[y])
-                self.emit(reps[x[c]], reps[y[c]])
-            return list(range(m))
-        if depth < DEPTH:
-            for d in range(1, NEAR + 1):
-                c = np.flatnonzero(_close(sk[:-d], sk[d:]))
-                self.emit(reps[c], reps[c + d])
-            cut = np.flatnonzero(np.r_[True, keys[1:, depth] != keys[:-1, depth]])
-            lead: list[int] = []
-            for a, b in zip(cut, np.r_[cut[1:], m]):
-                if b - a > 1:
-                    lead += [a + x for x in self.compare(keys[a:b], reps[a:b], sk[a:b], depth + 1)]
-            return [0, m - 1, *lead]
-        # equal in all hashes of the tree: compare with leaders, each row that no leader is close to becoming one
-        rest, lead = np.arange(m), []
-        while len(rest):
-            lead.append(int(rest[0]))
-            c = _close(sk[rest[1:]], sk[rest[0]])
-            hit = rest[1:][c]
-            self.emit(np.full(len(hit), reps[rest[0]]), reps[hit])
-            rest = rest[1:][~c]
-        return lead
-
-
-def _walk(edges: bool):
-    """Scans sorted (tree, key, rep, sketch); gives (lo, hi) pairs and, if ``edges``, rows of the regions at the
-    partition's ends, which may go on in the next partition."""
-    names = ["lo", "hi", "tree", "key", "rep", "sketch"]
-
-    def rows(pairs, b_tree=(), b_key=(), b_rep=(), b_sk=()):
-        p, n = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64), len(b_rep)
-        p = np.unique(p, axis=0) if len(p) else p
-        pad = [None] * len(p)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([*p[:, 0].tolist(), *[None] * n], pa.int64()), pa.array([*p[:, 1].tolist(), *[None] * n], pa.int64()), pa.array([*pad, *b_tree], pa.int32()),
-             pa.array([*pad, *b_key], pa.binary()), pa.array([*pad, *b_rep], pa.int64()), pa.array([*pad, *b_sk], pa.binary())], names=names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region, carry, name, first, ends = _Region(), None, None, True, []
-
-        def note(k, r, s, which):
-            if edges and len(r):
-                which = list(which)
-                ends.append((name[0], k[which], r[which], s[which]))
+def _links(shingle: int, rows: list[tuple], similarity: float) -> Iterator[tuple]:
+    """(lo, hi, shared, longer) of rows (n, rep, s) listed under one shingle, each pair under the least that lists both.
 
+    Without the shingles of both, shared is null and the pair remains to be compared.
+    """
+    rows = sorted(rows, key=lambda x: x[:2])
+    whole = [None if s is None else np.frombuffer(s, np.int64).tolist() for _, _, s in rows]
+    sets = [w and frozenset(w) for w in whole]
+    pres = [w and frozenset(w[: len(w) - _least(len(w), similarity) + 1]) for w in whole]
+    for i, (n, rep, _) in enumerate(rows):
+        a, p = sets[i], pres[i]
+        for j in range(i + 1, len(rows)):
+            longer, other, _ = rows[j]
+            if n < similarity * longer:
+                break
+            if a is None or sets[j] is None:
+                yield min(rep, other), max(rep, other), None, longer
+            elif min(p & pres[j]) == shingle and (shared := len(a & sets[j])) >= similarity * longer:
+                yield min(rep, other), max(rep, other), shared, longer
+
+
+def _compare(similarity: float):
+    """Scans (shingle, n, rep, s) sorted by shingle; a list may go on in the next batch."""
+
+    def lists(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        name, held = None, []
         for b in batches:
-            m = b.num_rows
-            if not m:
-                continue
-            tree = b.column(0).to_numpy(zero_copy_only=False)
-            keys = np.ascontiguousarray(_unpack(b.column(1), 4 * DEPTH)).view(">u4").astype(np.uint32)
-            reps = b.column(2).to_numpy(zero_copy_only=False)
-            sk = _unpack(b.column(3), SKETCH)
-            new = np.r_[True, (tree[1:] != tree[:-1]) | (keys[1:, :SHALLOW] != keys[:-1, :SHALLOW]).any(1)]
-            cut = np.flatnonzero(new)
-            size = np.diff(np.r_[cut, m])
-            # regions inside the batch of up to SMALL texts: all their pairs at once; the others one by one
-            small = size <= SMALL
-            small[0] = small[-1] = False
-            where = np.repeat(np.where(small, np.arange(len(cut)), -1), size)
-            for d in range(1, SMALL):
-                c = np.flatnonzero((where[:-d] == where[d:]) & (where[d:] >= 0)) if d < m else where[:0]
-                c = c[_close(sk[c], sk[c + d])]
-                region.emit(reps[c], reps[c + d])
-            for x in np.flatnonzero(~small):
-                a, e = cut[x], cut[x] + size[x]
-                mine = (int(tree[a]), keys[a, :SHALLOW].tobytes())
-                k, r, s = keys[a:e], reps[a:e], sk[a:e]
-                if carry is not None and mine == name:
-                    k, r, s = np.r_[carry[0], k], np.r_[carry[1], r], np.r_[carry[2], s]
-                elif first and carry is not None:
-                    note(*carry, range(len(carry[1])))
-                    first = False
-                name = mine
-                lead = sorted(set(region.compare(k, r, s)))
-                if len(lead) > 64:
-                    lead = lead[:32] + lead[-32:]
-                carry = k[lead], r[lead], s[lead]
-            if len(region.pairs):
-                yield rows(region.pairs)
-                region.pairs = []
-        if carry is not None and edges:
-            note(*carry, range(len(carry[1])))
-            yield rows([], [t for t, k, *_ in ends for _ in k], [x.astype(">u4").tobytes() for _, k, _, _ in ends for x in k], [int(x) for _, _, r, _ in ends for x in r], [x.tobytes() for *_, s in ends for x in s])
+            for key, *row in zip(b["shingle"].tolist(), b["n"].tolist(), b["rep"].tolist(), b["s"]):
+                if key != name:
+                    if len(held) > 1:
+                        yield from _links(name, held, similarity)
+                    name, held = key, []
+                held.append(tuple(row))
+        if len(held) > 1:
+            yield from _links(name, held, similarity)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        links = lists(batches)
+        while some := list(islice(links, 50_000)):
+            yield pd.DataFrame({c: pd.array(v, "Int64") for c, v in zip(("lo", "hi", "shared", "longer"), zip(*some))})
 
     return run
 
@@ -300,23 +196,20 @@ def texts_of(records: DataFrame, id_col: str = "answer_id", text_col: str = "a",
 def near_edges(reps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Rows (lo, hi, shared, longer): verified links between different texts, for rows (rep, t)."""
     spark = reps.sparkSession
-    n_docs = reps.count()
     slots = reps.select("t").mapInPandas(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     row = slots.coalesce(1).mapInPandas(_levels, "level binary").first()  # 2 << ROW_BITS bytes, none for an empty table
     counts = sketch_counts(row["level"] if row else bytes(2 << ROW_BITS))
-    sigs = materialize(reps.mapInPandas(_signatures(spark.sparkContext.broadcast(counts), max(n_docs, 1)), "rep long, sig binary"), "sigs")
-    out = "lo long, hi long, tree int, key binary, rep long, sketch binary"
-    planted = sigs.mapInArrow(_plant, "tree int, key binary, rep long, sketch binary")
-    walked = materialize(planted.repartitionByRange("tree", "key", "rep").sortWithinPartitions("tree", "key", "rep").mapInArrow(_walk(True), out), "walked")
-    ends = walked.where("rep is not null").select("tree", "key", "rep", "sketch").distinct()
-    across = ends.repartition("tree", F.substring("key", 1, 4 * SHALLOW)).sortWithinPartitions("tree", "key", "rep").mapInArrow(_walk(False), out)
-    pairs = materialize(walked.where("lo is not null").select("lo", "hi").unionByName(across.where("lo is not null").select("lo", "hi")).where("lo <> hi").distinct(), "pairs")
+    sets = materialize(reps.mapInPandas(_listed(spark.sparkContext.broadcast(counts), similarity), "rep long, n int, s binary, pre array<long>"), "sets")
+    listed = sets.select("rep", "n", "s", F.explode("pre").alias("shingle"))
+    out = "lo long, hi long, shared long, longer long"
+    compared = materialize(listed.repartition("shingle").sortWithinPartitions("shingle").mapInPandas(_compare(similarity), out), "compared")
+    pairs = materialize(compared.where("shared is null").select("lo", "hi").distinct(), "pairs")
     n = pairs.groupBy(F.col("lo").alias("rep")).agg(F.count("*").alias("n"))
     left = materialize(reps.join(n, "rep").select(F.col("rep").cast("string").alias("k"), F.col("t").alias("t1"), "n"), "left")
     one = hot_split_join(pairs.withColumn("k", F.col("lo").cast("string")), left, "k", "n").drop("k")
     both = one.join(reps.select(F.col("rep").alias("hi"), F.col("t").alias("t2")).hint("shuffle_merge"), "hi")
-    scored = both.select("lo", "hi", "t1", "t2").mapInPandas(_overlap, "lo long, hi long, shared long, longer long")
-    return scored.where(F.col("shared") >= similarity * F.col("longer"))
+    scored = both.select("lo", "hi", "t1", "t2").mapInPandas(_overlap, out)
+    return compared.where("shared is not null").unionByName(scored.where(F.col("shared") >= similarity * F.col("longer")))
 
 
 def near_groups(records: DataFrame, id_col: str = "answer_id", text_col: str = "a", min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -326,7 +219,7 @@ def near_groups(records: DataFrame, id_col: str = "answer_id", text_col: str = "
     it) over the number of such pairs in the longer one. Texts at ``similarity`` or more are linked; a group is all
     that is linked directly or through others, named by its least id; a text without partner is a group of its own.
     Texts with the same words in the same order are one node: n_links counts the different texts it is linked with
-    directly among verified candidates. Null, blank and short texts take no part. A repeated id counts once; should
+    directly. Null, blank and short texts take no part. A repeated id counts once; should
     its deliveries differ, it takes the group of each of its texts. Rows with a null id are left out. An empty table
     gives no rows.
     """

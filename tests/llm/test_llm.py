@@ -156,6 +156,35 @@ def test_crowded_region_stays_one_group(spark, monkeypatch):
     assert len(got) == 400 and {x.group_id for x in got} == {0}
 
 
+def brute_links(rows):
+    sets = {i: Counter(zip(a.split(), a.split()[1:])) for i, a in rows}
+    n = Counter()
+    for i in sets:
+        for j in sets:
+            if i < j and 2 * (sets[i] & sets[j]).total() >= max(sets[i].total(), sets[j].total()):
+                n.update((i, j))
+    return {i: n[i] for i in sets}
+
+
+def reworked(size):
+    """Half of each text is that of all, the other half is shared with one text that has nothing else of it."""
+    r = random.Random(3)
+    base = [f"common{i}" for i in range(13)]
+    rows = []
+    for i in range(size):
+        own = [f"own{i}x{k}" for k in range(12)]
+        rows.append((i, " ".join([*own, *base] if i % 2 else [*base, *own])))
+        rows.append((size + i, " ".join([*own[:7], *[f"else{r.randrange(10**9)}" for _ in range(6)]])))
+    return rows
+
+
+def test_links_of_a_hot_text_equal_brute_force(spark):
+    rows = reworked(150)
+    got = {x.answer_id: x.n_links for x in forest.near_groups(spark.createDataFrame(rows, "answer_id long, a string")).collect()}
+    want = brute_links(rows)
+    assert got == want and max(want.values()) > 140
+
+
 def test_group_pairs_of_a_large_group(spark):
     g = spark.range(2300).selectExpr("id as answer_id", "0L as group_id")
     assert forest.group_pairs(g).count() == 2300 * 2299 // 2
