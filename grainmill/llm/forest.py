@@ -127,21 +127,23 @@ def _listed(counts, similarity: float):
     return run
 
 
-def _links(shingle: int, rows: list[tuple], similarity: float) -> Iterator[tuple]:
-    """(lo, hi, shared, longer) of rows (n, rep, s) listed under one shingle, each pair under the least that lists both.
+def _links(shingle: int, rows: list[tuple], similarity: float, across: bool) -> Iterator[tuple]:
+    """(lo, hi, shared, longer) of rows (n, rep, part, s) listed under one shingle, each pair under the least that lists both.
 
-    Without the shingles of both, shared is null and the pair remains to be compared.
+    ``across``: only pairs of different parts. Without the shingles of both, shared is null and the pair remains to be compared.
     """
     rows = sorted(rows, key=lambda x: x[:2])
-    whole = [None if s is None else np.frombuffer(s, np.int64).tolist() for _, _, s in rows]
+    whole = [None if s is None else np.frombuffer(s, np.int64).tolist() for *_, s in rows]
     sets = [w and frozenset(w) for w in whole]
     pres = [w and frozenset(w[: len(w) - _least(len(w), similarity) + 1]) for w in whole]
-    for i, (n, rep, _) in enumerate(rows):
+    for i, (n, rep, part, _) in enumerate(rows):
         a, p = sets[i], pres[i]
         for j in range(i + 1, len(rows)):
-            longer, other, _ = rows[j]
+            longer, other, of, _ = rows[j]
             if n < similarity * longer:
                 break
+            if across and part == of:
+                continue
             if a is None or sets[j] is None:
                 yield min(rep, other), max(rep, other), None, longer
             elif min(p & pres[j]) == shingle and (shared := len(a & sets[j])) >= similarity * longer:
@@ -149,19 +151,19 @@ def _links(shingle: int, rows: list[tuple], similarity: float) -> Iterator[tuple
 
 
 def _compare(similarity: float):
-    """Scans (shingle, n, rep, s) sorted by shingle; a list may go on in the next batch."""
+    """Scans (shingle, x, y, n, rep, part, s) sorted by the first three; a block may go on in the next batch."""
 
     def lists(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        name, held = None, []
+        name, held = (None, 0, 0), []
         for b in batches:
-            for key, *row in zip(b["shingle"].tolist(), b["n"].tolist(), b["rep"].tolist(), b["s"]):
+            for *key, n, rep, part, s in zip(*[b[c].tolist() for c in ("shingle", "x", "y", "n", "rep", "part")], b["s"]):
                 if key != name:
                     if len(held) > 1:
-                        yield from _links(name, held, similarity)
+                        yield from _links(name[0], held, similarity, name[1] != name[2])
                     name, held = key, []
-                held.append(tuple(row))
+                held.append((n, rep, part, s))
         if len(held) > 1:
-            yield from _links(name, held, similarity)
+            yield from _links(name[0], held, similarity, name[1] != name[2])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         links = lists(batches)
@@ -193,6 +195,19 @@ def texts_of(records: DataFrame, id_col: str = "answer_id", text_col: str = "a",
     return t.where(F.length("t") - F.length(F.translate("t", " ", "")) >= min_words - 1).withColumn("k", F.sha2("t", 256))
 
 
+def _blocks(sets: DataFrame) -> DataFrame:
+    """(shingle, x, y, n, rep, part, s): the lists of two texts or more, cut into parts of about CROWDED texts.
+
+    Every two parts meet in a block (x, y) and every part meets itself, so no task compares a long list alone.
+    """
+    listed = sets.select("rep", F.explode("pre").alias("shingle")).withColumn("k", F.col("shingle").cast("string"))
+    sizes = materialize(listed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / CROWDED).cast("int")), "sizes")
+    under = hot_split_join(listed, sizes, "k", "n", keep_key=False).groupBy("rep").agg(F.collect_list(F.struct("shingle", "parts")).alias("under"))
+    each = sets.select("rep", "n", "s").join(under, "rep").select("rep", "n", "s", F.explode("under").alias("u")).select("rep", "n", "s", "u.*")
+    parted = each.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return parted.select("shingle", F.least("part", "o").alias("x"), F.greatest("part", "o").alias("y"), "n", "rep", "part", "s")
+
+
 def near_edges(reps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Rows (lo, hi, shared, longer): verified links between different texts, for rows (rep, t)."""
     spark = reps.sparkSession
@@ -200,9 +215,8 @@ def near_edges(reps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     row = slots.coalesce(1).mapInPandas(_levels, "level binary").first()  # 2 << ROW_BITS bytes, none for an empty table
     counts = sketch_counts(row["level"] if row else bytes(2 << ROW_BITS))
     sets = materialize(reps.mapInPandas(_listed(spark.sparkContext.broadcast(counts), similarity), "rep long, n int, s binary, pre array<long>"), "sets")
-    listed = sets.select("rep", "n", "s", F.explode("pre").alias("shingle"))
     out = "lo long, hi long, shared long, longer long"
-    compared = materialize(listed.repartition("shingle").sortWithinPartitions("shingle").mapInPandas(_compare(similarity), out), "compared")
+    compared = materialize(_blocks(sets).repartition("shingle", "x", "y").sortWithinPartitions("shingle", "x", "y").mapInPandas(_compare(similarity), out), "compared")
     pairs = materialize(compared.where("shared is null").select("lo", "hi").distinct(), "pairs")
     n = pairs.groupBy(F.col("lo").alias("rep")).agg(F.count("*").alias("n"))
     left = materialize(reps.join(n, "rep").select(F.col("rep").cast("string").alias("k"), F.col("t").alias("t1"), "n"), "left")

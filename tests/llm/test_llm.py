@@ -185,6 +185,15 @@ def test_links_of_a_hot_text_equal_brute_force(spark):
     assert got == want and max(want.values()) > 140
 
 
+def test_crowded_lists_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(forest, "CROWDED", 16)
+    r = random.Random(8)
+    base = [f"common{i}" for i in range(30)]
+    rows = [(i, edited(r, base, r.randrange(4, 16))) for i in range(250)]
+    got = {x.answer_id: x.n_links for x in forest.near_groups(spark.createDataFrame(rows, "answer_id long, a string")).collect()}
+    assert got == brute_links(rows)
+
+
 def test_group_pairs_of_a_large_group(spark):
     g = spark.range(2300).selectExpr("id as answer_id", "0L as group_id")
     assert forest.group_pairs(g).count() == 2300 * 2299 // 2
