@@ -51,10 +51,11 @@ REFUSALS = {
         r"\bnon (?:posso|potrò|potrei|sono (?:autorizzat|in grado)|mi è (?:permesso|consentito|possibile)|ho il permesso|voglio)",
     ],
 }
-#: Words one of which every refusal above has; most texts have none and skip the long rules.
+#: Words or parts of words one of which every alternative of every refusal above has; texts without skip the long rules.
 HINTS = (
-    r"\b(?:i|i'm|i'd|me|my|sorry|apologies|unfortunately|regrettably|declined|comment|refused|denied|rejected|cannot|can't|won't|unable|not permitted|not allowed|permission|assistant|ich|mir|meine"
-    r"|siento|lamento|asistente|puedo|permite|niego|debo|tengo|prefiero|podré|mis|désolée?|je|m'est|mes|tant|mi|assistente|devo|preferisco|posso|potrò|sono|ho)\b"
+    r"\b(?:i|me|my|ai|ich|mir|bin|mi|mie|je|mes|mis|voy)\b"
+    r"|sorry|apologies|unfortunately|regrettably|comment|refused|denied|declined|rejected|cannot|can't|can not|won't|unable|not able|not allowed|permi|assistant|assistent|model|helper|richtlinien"
+    r"|siento|lamento|asistente|debo|tengo|niego|prefiero|puedo|podr|quiero|estoy|désol|en tant qu'|m'est|devo|preferisco|posso|potr|non sono|permesso|voglio"
 )
 
 # Frequent words of each language that tell it from the others.
@@ -121,7 +122,7 @@ def _flags(pairs: DataFrame) -> DataFrame:
     p = p.withColumn("copy", ~F.col("empty") & (F.col("wq") != "") & holds & F.when(holds, F.size(rest) == 0).otherwise(False))
     open_ = ~F.col("empty") & ~F.col("copy")
     rules = _any([x for group in REFUSALS.values() for x in group])
-    hinted = open_ & (F.length("t") < 400) & F.col("t").rlike(HINTS)
+    hinted = open_ & F.col("t").rlike(HINTS)
     p = p.withColumn("refusal", F.when(hinted, F.col("t").rlike(rules)).otherwise(False))
     # language: plain cases (English on both sides) leave early
     english = r"\b(?:the|of|and|this|that|your|our|each|every|any|some|another|what|which|does|near|about|until)\b"

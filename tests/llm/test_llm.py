@@ -52,6 +52,42 @@ def test_defect_kinds(spark):
     assert found(spark, rows) == want
 
 
+def sample(r, parsed):
+    """A text that a parsed regular expression matches, alternatives and repeats by chance."""
+    out = ""
+    for op, arg in parsed:
+        match str(op):
+            case "LITERAL":
+                out += chr(arg)
+            case "ANY":
+                out += "x"
+            case "IN":
+                out += chr(r.choice([v if str(o) == "LITERAL" else 32 for o, v in arg]))
+            case "BRANCH":
+                out += sample(r, r.choice(arg[1]))
+            case "SUBPATTERN":
+                out += sample(r, arg[-1])
+            case "MAX_REPEAT":
+                out += "".join(sample(r, arg[2]) for _ in range(r.randint(arg[0], min(arg[1], arg[0] + 1))))
+    return out
+
+
+def test_every_refusal_has_a_hint(spark):
+    r = random.Random(1)
+    rules = [x for group in defects.REFUSALS.values() for x in group]
+    ts = sorted({sample(r, re._parser.parse(x)).strip() for x in rules for _ in range(600)})
+    df = spark.createDataFrame([(t,) for t in ts], "t string").where(F.col("t").rlike(defects._any(rules)))
+    assert df.count() > 500
+    assert [x.t for x in df.where(~F.col("t").rlike(defects.HINTS)).collect()] == []
+
+
+def test_refusals_of_any_length_and_wording(spark):
+    q = "How do I open the lid?"
+    said = ["Not able to help with that.", "Can not comply.", "This model does not answer such questions.", "I cannot help with that. " + "The lid is part of the pump. " * 30]
+    rows = [(i, "qa", q, a, None, None) for i, a in enumerate(said)]
+    assert found(spark, rows) == dict.fromkeys(range(len(said)), "refusal")
+
+
 def test_defects_of_nothing(spark):
     assert found(spark, []) == {}
     assert found(spark, [(1, "prose", None, None, None, None), (2, "orphan_q", "x", None, None, None)]) == {}
