@@ -120,14 +120,14 @@ def _flags(pairs: DataFrame) -> DataFrame:
     holds = (F.length("wr") >= F.length("wq")) & F.contains(pad(F.col("wr")), pad(F.col("wq")))
     rest = F.array_except(F.split("wr", " "), F.concat(F.split("wq", " "), F.array(*[F.lit(w) for w in dict.fromkeys(INTRO)])))
     p = p.withColumn("copy", ~F.col("empty") & (F.col("wq") != "") & holds & F.when(holds, F.size(rest) == 0).otherwise(False))
-    open_ = ~F.col("empty") & ~F.col("copy")
+    said = ~F.col("empty")
     rules = _any([x for group in REFUSALS.values() for x in group])
-    hinted = open_ & F.col("t").rlike(HINTS)
+    hinted = said & F.col("t").rlike(HINTS)
     p = p.withColumn("refusal", F.when(hinted, F.col("t").rlike(rules)).otherwise(False))
     # language: plain cases (English on both sides) leave early
     english = r"\b(?:the|of|and|this|that|your|our|each|every|any|some|another|what|which|does|near|about|until)\b"
     both = F.col("q").rlike("(?i)" + english) & F.col("r").rlike("(?i)" + english)
-    ask = open_ & ~F.col("refusal") & (F.col("kind") == "qa") & (F.col("wq") != "") & ~F.coalesce(both, F.lit(False))
+    ask = said & (F.col("kind") == "qa") & (F.col("wq") != "") & ~F.coalesce(both, F.lit(False))
     p = p.withColumn("_q", F.when(ask, F.array_distinct(F.split(words_of(_prose(F.col("q"))), " "))))
     p = p.withColumn("_r", F.when(ask, F.array_distinct(F.split(words_of(_prose(F.col("r"))), " "))))
     for side in ("q", "r"):
@@ -146,7 +146,7 @@ def _flags(pairs: DataFrame) -> DataFrame:
     p = p.withColumn("wrong_language", ask & F.coalesce(script | ((best_q >= 1) & (best_r >= 2) & differ), F.lit(False)))
     # endings
     end = F.regexp_replace("t", r"[\s]+$", "")
-    p = p.withColumn("e", F.when(open_ & ~F.col("refusal"), end))
+    p = p.withColumn("e", F.when(said, end))
     quotes = F.length("e") - F.length(F.translate("e", '"', ""))
     delimiter = (
         F.col("e").rlike(r"[(\[{][^)\]}]*$|«[^»]*$|„[^“”]*$")

@@ -88,6 +88,17 @@ def test_refusals_of_any_length_and_wording(spark):
     assert found(spark, rows) == dict.fromkeys(range(len(said)), "refusal")
 
 
+def test_all_defects_of_a_pair(spark):
+    q = "What does the old pump do every morning?"
+    rows = [
+        (1, "qa", q, "Dazu kann ich leider nichts sagen, bitte frage jemand, der mit der Pumpe mehr zu tun hat.", None, None), (2, "qa", q, "I'm sorry, but I can't say what the", None, None),
+        (3, "qa", "What is (the", "What is (the", None, None), (4, "qa", "Can I say I refuse?", "Can I say I refuse?", None, None), (5, "qa", q, "", None, None),
+    ]
+    got = {x.block_id: (x.defects, x.defect) for x in defects.defects(spark.createDataFrame(rows, BLOCKS)).collect()}
+    want = {1: ["refusal", "wrong_language"], 2: ["refusal", "truncated"], 3: ["copy", "truncated"], 4: ["copy", "refusal"], 5: ["empty"]}
+    assert got == {k: (v, v[0]) for k, v in want.items()}
+
+
 def test_defects_of_nothing(spark):
     assert found(spark, []) == {}
     assert found(spark, [(1, "prose", None, None, None, None), (2, "orphan_q", "x", None, None, None)]) == {}
