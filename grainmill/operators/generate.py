@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -104,7 +105,7 @@ def paraphrases(answer: str, have: list[str], n: int) -> list[str]:
     return out
 
 
-#: Of one answer at most so many different questions, in order of hash, are weighed against each other in one task.
+#: Answers with more different questions than this are chosen from by all tasks together.
 WEIGHED = 2_000
 
 
@@ -113,8 +114,8 @@ def balance(pairs: DataFrame, target: int = 5, key: tuple[str, ...] = ("prefix",
 
     More than that: different questions, the most diverse kept, filled up if there are fewer. Fewer: all kept, the
     missing ones made. Exactly as many: unchanged, repeats included. Null answers are left out, null questions count
-    as empty. An answer with very many questions first loses repeats by a shuffle and is then cut by rounds: groups
-    of WEIGHED questions each keep their most diverse ones, which meet in the next round.
+    as empty. An answer with very many questions first loses repeats by a shuffle; above WEIGHED each step of the
+    choice is one aggregation over all its questions, with the same result.
     """
     x = pairs.where(F.col("a").isNotNull()).select(*key, F.coalesce(q, F.lit("")).alias("q"), F.col(order).alias("o"))
     n = x.groupBy(*key).agg(F.count("*").alias("n"))
@@ -126,7 +127,7 @@ def balance(pairs: DataFrame, target: int = 5, key: tuple[str, ...] = ("prefix",
     exact = marked.where(F.col("n") == target).select(*key, "q", F.lit(False).alias("made"))
     few = marked.where(F.col("n") < target).groupBy(*key, "q").agg(F.min("o").alias("o"), F.count("*").alias("k"))
     many = marked.where(F.col("n") > target).groupBy(*key, "q").agg(F.min("o").alias("o"), F.lit(1).cast("long").alias("k"))
-    many = _thin_out(materialize(many, "many"), list(key), target)
+    many = _choose_crowded(materialize(many, "many"), list(key), target)
     schema = many.select(*key, "q").schema.simpleString()[7:-1].replace(":", " ")
 
     def finish(batches):
@@ -157,27 +158,37 @@ def _groups(batches, key: list[str]):
         yield rest
 
 
-def _thin_out(many: DataFrame, key: list[str], target: int) -> DataFrame:
-    """Cuts answers with more than WEIGHED different questions down, by rounds."""
-    for _ in range(20):
-        n = many.groupBy(*key).agg(F.count("*").alias("crowd")).where(F.col("crowd") > WEIGHED)
-        n = materialize(n, "crowds")
-        if not n.limit(1).count():
-            return many
-        on = None
-        for k in key:
-            c = F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-            on = c if on is None else on & c
-        mine = [F.col(f"l.{c}") for c in many.columns]
-        crowded = many.alias("l").join(n.alias("r"), on).select(*mine, F.pmod(F.xxhash64("l.q"), F.ceil(F.col("crowd") / WEIGHED) + 1).cast("int").alias("part"))
-
-        def cut(_: tuple, g: pd.DataFrame) -> pd.DataFrame:
-            g = g.sort_values(["o", "q"], kind="stable")
-            return g[g["q"].isin(set(diverse(list(g["q"]), max(target, 2))))].drop(columns="part")
-
-        kept = crowded.groupBy(*key, "part").applyInPandas(cut, many.schema)
-        many = materialize(many.alias("l").join(n.alias("r"), on, "left_anti").unionByName(kept), "many")
-    return many
+def _choose_crowded(many: DataFrame, key: list[str], target: int) -> DataFrame:
+    """The questions that ``diverse`` chooses of answers with more than WEIGHED different ones; other answers unchanged."""
+    n = materialize(many.groupBy(*key).agg(F.count("*").alias("crowd")).where(F.col("crowd") > WEIGHED), "crowds")
+    if not n.limit(1).count():
+        return many
+
+    def on(right: str):
+        same = [F.col(f"l.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in key]
+        return reduce(lambda x, y: x & y, same)
+
+    def measure(batches):
+        for b in batches:
+            yield b.assign(words=[sorted(set(re.findall(r"\w+", q.lower()))) for q in b["q"]], size=b["q"].map(len).astype("int64"))
+
+    schema = many.schema.simpleString()[7:-1].replace(":", " ") + ", words array<string>, size bigint"
+    crowded = materialize(many.alias("l").join(n.alias("r"), on("r"), "left_semi").mapInPandas(measure, schema), "crowded")
+    state = n.select(*key, F.array().cast("array<string>").alias("chosen"), F.array().cast("array<string>").alias("seen"), F.lit(0).cast("long").alias("total"))
+    for step in range(target):
+        rest = crowded.alias("l").join(state.alias("s"), on("s")).where(~F.array_contains("s.chosen", F.col("l.q")))
+        new = 10 * F.size(F.array_except("l.words", "s.seen")) + F.abs(F.col("l.size") - F.col("s.total") / F.lit(max(step, 1)))
+        rank = F.col("l.size").cast("double") if step == 0 else F.negative(F.col("l.size").cast("double")) if step == 1 else F.negative(new)
+        first = F.min(F.struct(rank.alias("rank"), F.col("l.o").isNull().alias("last"), F.col("l.o").alias("o"), F.col("l.q").alias("q"), F.col("l.words").alias("words"), F.col("l.size").alias("size")))
+        best = rest.groupBy(*[F.col(f"l.{k}").alias(k) for k in key]).agg(first.alias("b"))
+        state = materialize(
+            best.alias("l").join(state.alias("s"), on("s")).select(
+                *[F.col(f"l.{k}") for k in key], F.concat("s.chosen", F.array("b.q")).alias("chosen"), F.array_union("s.seen", F.col("b.words")).alias("seen"), (F.col("s.total") + F.col("b.size")).alias("total")
+            ),
+            "state",
+        )
+    kept = crowded.alias("l").join(state.alias("s"), on("s")).where(F.array_contains("s.chosen", F.col("l.q"))).select(*[F.col(f"l.{c}") for c in many.columns])
+    return materialize(many.alias("l").join(n.alias("r"), on("r"), "left_anti").unionByName(kept), "many")
 
 
 def choose(rows: DataFrame, conflict_key: str, order: str) -> DataFrame:

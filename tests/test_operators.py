@@ -185,6 +185,16 @@ def test_balance_gives_five_each(spark, monkeypatch):
     assert {x.q for x in generate.balance(df).where("a = 'a1'").collect()} == set(generate.diverse(qs, 5))
 
 
+def test_crowded_answers_get_the_same_questions(spark, monkeypatch):
+    monkeypatch.setattr(generate, "WEIGHED", 10)
+    r = random.Random(4)
+    qs = [" ".join(r.choice("How can one Open close LID pump ärger 12 water? of the".split()) for _ in range(r.randrange(2, 12))) for _ in range(90)]
+    rows = [(None if i % 2 else "p", f"a{i % 3}", q, i) for i, q in enumerate(qs)]
+    got = Counter((x.prefix, x.a, x.q) for x in generate.balance(spark.createDataFrame(rows, "prefix string, a string, q string, pair_id long")).collect())
+    keys = {(p, a) for p, a, *_ in rows}
+    assert got == Counter((*k, q) for k in keys for q in generate.diverse(list(dict.fromkeys(q for p, a, q, _ in rows if (p, a) == k)), 5))
+
+
 def test_diverse_selection():
     assert generate.diverse(["b", "a"], 5) == ["b", "a"]
     assert generate.diverse(["aa bb", "a", "cc dd ee ff", "aa", "zz yy"], 3) == ["a", "cc dd ee ff", "aa bb"]
