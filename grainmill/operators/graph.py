@@ -15,7 +15,7 @@ def _least_neighbour(edges: DataFrame) -> DataFrame:
     return hot_split_join(edges.withColumn("k", F.col("u").cast("string")), text, "k", "n").select("u", "v", "m")
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Rows (node, component) for every node of an undirected edge list of integer ids; component is its least node.
 
     Alternating large-star and small-star rounds, each written to the shared folder, until nothing changes; the number
@@ -27,7 +27,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     nodes = clean.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("component"))
     cur = materialize(clean.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     state = None
-    for _ in range(max_rounds):
+    while True:
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least_neighbour(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(large, "large")
@@ -43,7 +43,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     return found.unionByName(nodes.join(found, "node", "left_anti").distinct())
 
 
-def resolve_map(pairs: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 40) -> DataFrame:
+def resolve_map(pairs: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Rows (src, dst): every key followed along the map to the end of its chain, by pointer jumping.
 
     A chain that runs into a cycle stops at the least value of that cycle. Keys must be unique; null keys and
@@ -53,7 +53,7 @@ def resolve_map(pairs: DataFrame, src: str = "src", dst: str = "dst", max_rounds
     # a cycle has no end: walk with the set of values seen and cut it at its least member
     cyc = _cycle_members(cur)
     cur = materialize(cur.join(cyc, "s", "left").select("s", F.coalesce("least", "d").alias("d")).where("s <> d"), "map")
-    for _ in range(max_rounds):
+    while True:
         nxt = materialize(
             cur.join(cur.select(F.col("s").alias("d"), F.col("d").alias("e")), "d", "left").select("s", F.coalesce("e", "d").alias("d"), F.col("e").isNotNull().alias("moved")),
             "map",
@@ -90,7 +90,7 @@ def _cycle_members(cur: DataFrame) -> DataFrame:
     return least.select("s", "least")
 
 
-def walks(nodes: DataFrame, edges: DataFrame, name: str = "name", src: str = "src", dst: str = "dst", max_depth: int = 50) -> DataFrame:
+def walks(nodes: DataFrame, edges: DataFrame, name: str = "name", src: str = "src", dst: str = "dst") -> DataFrame:
     """(base, at, path): every node reached from every root (a node nothing points at), with the way there.
 
     A walk ends where it would meet a node it already holds, so cycles end; cycles without a root are not reached.
@@ -99,7 +99,7 @@ def walks(nodes: DataFrame, edges: DataFrame, name: str = "name", src: str = "sr
     roots = nodes.select(F.col(name).alias("base")).distinct().join(e.select(F.col("d").alias("base")), "base", "left_anti")
     front = materialize(roots.select("base", F.col("base").alias("at"), F.array("base").alias("seen")), "walk")
     out = front
-    for _ in range(max_depth):
+    while True:
         front = materialize(front.join(e, front["at"] == e["s"]).where(~F.array_contains("seen", F.col("d"))).select("base", F.col("d").alias("at"), F.concat("seen", F.array("d")).alias("seen")), "walk")
         if not front.limit(1).count():
             break

@@ -90,6 +90,12 @@ def test_walks_with_branch_cycle_and_loner(spark):
     assert {(x.base, x.final, x.path) for x in graph.chains(n, e).collect()} == {("a", "c", "a > b > c"), ("a", "d", "a > b > d"), ("e", "e", "e")}
 
 
+def test_walks_have_no_greatest_depth(spark):
+    e = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(53)], "src string, dst string").coalesce(1)
+    n = spark.createDataFrame([("n0",)], "name string")
+    assert [(x.base, x.final) for x in graph.chains(n, e).collect()] == [("n0", "n53")]
+
+
 def test_running_sum_and_neighbours_across_chunks(spark):
     r = random.Random(4)
     rows = [(k, i, r.randrange(3)) for k in "ab" for i in sorted(r.sample(range(500), 90))]
