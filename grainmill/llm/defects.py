@@ -1,18 +1,25 @@
 """Defective question/response pairs and their kinds of defect.
 
 Method: ordered rules for emptiness, copied questions, multilingual refusals, script and language mismatch, unclosed
-delimiters and abrupt endings. Every rule that holds is emitted; the first in this order names the pair's defect. All
-rules are expressions inside the JVM; only the check for words cut in the middle compares with the whole corpus.
+delimiters and abrupt endings. Every rule that holds is emitted; the first in this order names the pair's defect. The
+rules read a pair once, in Arrow batches: as column expressions they took some twenty passes of regular expressions
+over every text, and several times the CPU. Only the check for words cut in the middle compares with the whole corpus.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.session import materialize
+from grainmill.session import hot_split_join, materialize
 
 ORDER = ("empty", "copy", "refusal", "wrong_language", "truncated")
+EMPTY, COPY, REFUSAL, WRONG_LANGUAGE, TRUNCATED = (1 << i for i in range(len(ORDER)))
 
 # Names of the fields, alone or before a repeated question.
 LABELS = "q|a|do|question|answer|response|prompt|frage|antwort|pregunta|respuesta|réponse|domanda|risposta"
@@ -51,11 +58,12 @@ REFUSALS = {
         r"\bnon (?:posso|potrò|potrei|sono (?:autorizzat|in grado)|mi è (?:permesso|consentito|possibile)|ho il permesso|voglio)",
     ],
 }
-#: Words or parts of words one of which every alternative of every refusal above has; texts without skip the long rules.
-HINTS = (
-    r"\b(?:i|me|my|ai|ich|mir|bin|mi|mie|je|mes|mis|voy)\b"
-    r"|sorry|apologies|unfortunately|regrettably|comment|refused|denied|declined|rejected|cannot|can't|can not|won't|unable|not able|not allowed|permi|assistant|assistent|model|helper|richtlinien"
-    r"|siento|lamento|asistente|debo|tengo|niego|prefiero|puedo|podr|quiero|estoy|désol|en tant qu'|m'est|devo|preferisco|posso|potr|non sono|permesso|voglio"
+#: Words one of which every text has that any refusal above matches (a test walks through all alternatives); texts
+#: without skip the long rules, whatever their length.
+HINTS = frozenset(
+    "i me my ai assistant assistents assistent assistentin assistente asistente model helper sorry apologies unfortunately regrettably comment refused denied declined rejected cannot can won "
+    "unable not permission ich mir bin mi mie je mes mis voy siento lamento modelo debo tengo niego prefiero puedo podré podría podr quiero "
+    "estoy se está richtlinien désolé désolée tant m devo preferisco posso potrò potrei potr sono ho voglio".split()
 )
 
 # Frequent words of each language that tell it from the others.
@@ -80,94 +88,142 @@ OPEN_ENDS = (
 ).split()
 
 
-def _any(rules: list[str]) -> str:
-    return "(?:" + "|".join(rules) + ")"
+_REFUSAL = re.compile("|".join(x for group in REFUSALS.values() for x in group))
+_LABEL = re.compile(rf"^\W*(?:{LABELS}) ?[:：]")
+_INTRO = frozenset(INTRO)
+_OPEN_ENDS = frozenset(OPEN_ENDS)
+_WORD = re.compile(r"[^\W_]+")
+_PLAIN = str.maketrans("’‘ʼ`´", "'''''")
+_UNSEEN = re.compile("[\u200b-\u200f\u2060\ufeff\u00ad]+")
+_QUOTED = re.compile(r"[„“\"«][^„“”\"«»]{0,80}[“”\"»]")
+_FOREIGN = regex.compile(r"(?=\p{L})\P{Latin}")
+_LATIN = regex.compile(r"(?=\p{L})\p{Latin}")
+# endings
+_OPEN_GERMAN, _GERMAN = re.compile("“[^”]*$"), re.compile("„[^“”]*“[^“”]*$")
+_OPTION, _NUMBER, _BULLET = re.compile(r"\s--[A-Za-z0-9_]+$"), re.compile(r"(?:^|\s)\d+\)$"), re.compile(r"(?:^|\s)[*•]$")
+_CLOSED = re.compile(r"[.!?。！？]['\"”’»“)\]]*$")
+_TAIL = re.compile(r"([^\W_]+)(?:[\W_]{0,2})$")
+_LAST = re.compile(r"(?:^|[\W_])([^\W\d_]+)$")
+
+#: How many words of a set each language knows, as one number of 12 bits for each language.
+_BITS = 12
+_KNOWN: dict[str, int] = {}
+for _i, _k in enumerate(LANGUAGES):
+    for _w in set(LANGUAGES[_k].split()):
+        _KNOWN[_w] = _KNOWN.get(_w, 0) + (1 << _BITS * _i)
+_KEYS = frozenset(_KNOWN)
 
 
-def normal(c: Column) -> Column:
+def normal(text: str) -> str:
     """Lower case, plain apostrophes, no invisible characters, white space of any kind as one blank."""
-    t = F.translate(F.lower(F.coalesce(c, F.lit(""))), "’‘ʼ`´", "'''''")
-    t = F.regexp_replace(t, r"[​-‏⁠﻿­]+", "")
-    return F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
+    t = text.lower()
+    if not t.isascii():
+        t = _UNSEEN.sub("", t.translate(_PLAIN))
+    elif "`" in t:
+        t = t.replace("`", "'")
+    return " ".join(t.split())
 
 
-def words_of(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"[^\p{L}\p{N}]+", " "))
+def refuses(t: str, words: frozenset | set) -> bool:
+    """Whether a normal text, of these words, declines."""
+    return not HINTS.isdisjoint(words) and _REFUSAL.search(t) is not None
 
 
-def _score(words: Column, language: str) -> Column:
-    return F.size(F.array_intersect(words, F.array(*[F.lit(w) for w in dict.fromkeys(LANGUAGES[language].split())])))
+def _own_words(text: str, words: set) -> set:
+    """The words without those of quoted terms. ``words`` are those of the whole text."""
+    if '"' in text or (not text.isascii() and not {"„", "“", "«"}.isdisjoint(text)):
+        return set(_WORD.findall(_QUOTED.sub(" ", text).lower()))
+    return words
 
 
-def _prose(original: Column) -> Column:
-    """The text without quoted terms and names (capitalised words inside a sentence), in lower case."""
-    t = F.regexp_replace(F.coalesce(original, F.lit("")), r"[„“\"«][^„“”\"«»]{0,80}[“”\"»]", " ")
-    return F.lower(F.translate(t, "’‘", "''"))
+def _scores(words: set) -> list[int]:
+    n = sum(_KNOWN[w] for w in words & _KEYS)
+    return [n >> _BITS * i & ((1 << _BITS) - 1) for i in range(len(LANGUAGES))]
 
 
-def pairs_of(blocks: DataFrame) -> DataFrame:
-    """(block_id, kind, q, r): pairs of type qa or do, each block once."""
-    b = blocks.where(F.col("type").isin("qa", "do") & F.col("block_id").isNotNull())
-    return b.select("block_id", F.col("type").alias("kind"), "q", F.when(F.col("type") == "qa", F.col("a")).otherwise(F.col("do")).alias("r"))
+def other_language(q: str, r: str, q_words: set, r_words: set) -> bool:
+    """Whether r is written in another script or another of the five languages than q."""
+    if not (q.isascii() and r.isascii()):
+        lq, nq, lr, nr = len(_LATIN.findall(q)), len(_FOREIGN.findall(q)), len(_LATIN.findall(r)), len(_FOREIGN.findall(r))
+        if lr + nr >= 4 and lq + nq and (lq > nq) != (lr > nr):
+            return True
+    sr = _scores(_own_words(r, r_words))
+    if max(sr) < 2:
+        return False
+    sq = _scores(_own_words(q, q_words))
+    best = max(sq)
+    if best < 1:
+        return False
+    own = max(x for x, y in zip(sr, sq) if y == best)  # words of the question's own language
+    for k, n in enumerate(sr):
+        others = max(sr[:k] + sr[k + 1 :])
+        asked = max(sq[:k] + sq[k + 1 :])
+        # the response is clearly in k, the question at least as clearly not
+        if n >= 2 and n >= (others + 2 if others else 0) and sq[k] < asked and n > own:
+            return True
+    return False
+
+
+def breaks_off(e: str) -> bool:
+    """Whether a normal text ends inside a bracket, quotation, list, option or sentence."""
+    if max(map(e.rfind, "([{")) > max(map(e.rfind, ")]}")):
+        return True
+    if e.count('"') % 2 and ((at := e.rfind('"')) == 0 or e[at - 1] in " ("):
+        return True
+    if not e.isascii():
+        if e.rfind("«") > e.rfind("»") or e.rfind("„") > max(e.rfind("“"), e.rfind("”")):
+            return True
+        if _OPEN_GERMAN.search(e) and not _GERMAN.search(e):
+            return True
+    if e[-1] in ",:;=|&/+-–—…" or e.endswith("..") or ("--" in e and _OPTION.search(e)) or (e[-1] == ")" and _NUMBER.search(e)) or (e[-1] in "*•" and _BULLET.search(e)):
+        return True
+    if " " not in e or e[-1] in ')"”»' or _CLOSED.search(e):
+        return False
+    tail = _TAIL.search(e)
+    return tail is not None and tail[1] in _OPEN_ENDS
 
 
-def _flags(pairs: DataFrame) -> DataFrame:
-    """Adds the rules that need one pair only, and ``last``: the word to look up in the corpus, or null."""
-    p = pairs.withColumn("t", normal(F.col("r"))).withColumn("wr", words_of(F.regexp_replace("t", rf"^\W*(?:{LABELS}) ?[:：]", " "))).withColumn("wq", words_of(normal(F.col("q"))))
-    p = p.withColumn("empty", F.col("wr") == "")
+def judge(kind: str, q: str | None, r: str | None) -> tuple[int, str | None]:
+    """(the rules that hold, as bits in ORDER; the last word, to be looked up in the corpus, or None) of one pair."""
+    t = normal(r or "")
+    labelled = _LABEL.match(t)
+    words = _WORD.findall(t, labelled.end() if labelled else 0)
+    if not words:
+        return EMPTY, None
+    mask, r_words = 0, set(words)
+    question = normal(q or "")
+    asked = _WORD.findall(question)
+    q_words = set(asked)
     # copy: the question once or several times, and nothing else but words that introduce it
-    pad = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
-    holds = (F.length("wr") >= F.length("wq")) & F.contains(pad(F.col("wr")), pad(F.col("wq")))
-    rest = F.array_except(F.split("wr", " "), F.concat(F.split("wq", " "), F.array(*[F.lit(w) for w in dict.fromkeys(INTRO)])))
-    p = p.withColumn("copy", ~F.col("empty") & (F.col("wq") != "") & holds & F.when(holds, F.size(rest) == 0).otherwise(False))
-    said = ~F.col("empty")
-    rules = _any([x for group in REFUSALS.values() for x in group])
-    hinted = said & F.col("t").rlike(HINTS)
-    p = p.withColumn("refusal", F.when(hinted, F.col("t").rlike(rules)).otherwise(False))
-    # language: plain cases (English on both sides) leave early
-    english = r"\b(?:the|of|and|this|that|your|our|each|every|any|some|another|what|which|does|near|about|until)\b"
-    both = F.col("q").rlike("(?i)" + english) & F.col("r").rlike("(?i)" + english)
-    ask = said & (F.col("kind") == "qa") & (F.col("wq") != "") & ~F.coalesce(both, F.lit(False))
-    p = p.withColumn("_q", F.when(ask, F.array_distinct(F.split(words_of(_prose(F.col("q"))), " "))))
-    p = p.withColumn("_r", F.when(ask, F.array_distinct(F.split(words_of(_prose(F.col("r"))), " "))))
-    for side in ("q", "r"):
-        p = p.withColumn(f"s{side}", F.when(F.col(f"_{side}").isNotNull(), F.struct(*[_score(F.col(f"_{side}"), k).alias(k) for k in LANGUAGES])))
-    latin = lambda c: F.length(F.regexp_replace(F.coalesce(c, F.lit("")), r"\P{IsLatin}+", ""))
-    letters = lambda c: F.length(F.regexp_replace(F.coalesce(c, F.lit("")), r"\P{L}+", ""))
-    p = p.withColumn("_script", F.when(ask, F.struct(latin(F.col("q")).alias("lq"), letters(F.col("q")).alias("q"), latin(F.col("r")).alias("lr"), letters(F.col("r")).alias("r"))))
-    script = (F.col("_script.r") >= 4) & ((F.col("_script.lq") * 2 > F.col("_script.q")) != (F.col("_script.lr") * 2 > F.col("_script.r")))
-    best_q, best_r = F.greatest(*[F.col(f"sq.{k}") for k in LANGUAGES]), F.greatest(*[F.col(f"sr.{k}") for k in LANGUAGES])
-    differ = F.lit(False)
-    for k in LANGUAGES:
-        others = F.greatest(*[F.col(f"sr.{o}") for o in LANGUAGES if o != k])
-        own_q = F.greatest(*[F.col(f"sq.{o}") for o in LANGUAGES if o != k])
-        # the response is clearly in k, the question at least as clearly not
-        differ = differ | ((F.col(f"sr.{k}") >= 2) & (F.col(f"sr.{k}") >= others + F.when(others == 0, 0).otherwise(2)) & (F.col(f"sq.{k}") < own_q) & (own_q >= 1) & (F.col(f"sr.{k}") > _of_question()))
-    p = p.withColumn("wrong_language", ask & F.coalesce(script | ((best_q >= 1) & (best_r >= 2) & differ), F.lit(False)))
-    # endings
-    end = F.regexp_replace("t", r"[\s]+$", "")
-    p = p.withColumn("e", F.when(said, end))
-    quotes = F.length("e") - F.length(F.translate("e", '"', ""))
-    delimiter = (
-        F.col("e").rlike(r"[(\[{][^)\]}]*$|«[^»]*$|„[^“”]*$")
-        | (F.col("e").rlike("“[^”]*$") & ~F.col("e").rlike("„[^“”]*“[^“”]*$"))
-        | ((quotes % 2 == 1) & F.col("e").rlike(r'(?:^|[\s(])"[^"]*$'))
-    )
-    dangling = F.col("e").rlike(r"(?:[,:;=|&/+\-–—…]|\.\.\.?|\s--\w+|(?:^|\s)\d+\)|(?:^|\s)[*•])$")
-    tail = F.regexp_extract("e", r"([\p{L}\p{N}]+)[^\p{L}\p{N}]{0,2}$", 1)
-    closed = F.col("e").rlike(r"[.!?。！？]['\"”’»“)\]]*$")
-    open_end = F.col("e").contains(" ") & tail.isin(*dict.fromkeys(OPEN_ENDS)) & ~F.col("e").rlike(r"[)\"”»]$") & ~closed
-    p = p.withColumn("truncated", F.coalesce(delimiter | dangling | open_end, F.lit(False)))
-    word = F.regexp_extract("e", r"(?:^|[^\p{L}\p{N}])(\p{L}+)$", 1)
-    look = F.col("e").isNotNull() & ~F.col("truncated") & ~closed & (F.col("kind") == "qa") & F.col("e").contains(" ")
-    p = p.withColumn("last", F.when(look & (word != ""), word))
-    return p.select("block_id", "kind", *ORDER, "last")
-
-
-def _of_question() -> Column:
-    """How many words of the question's own language the response has."""
-    best = F.greatest(*[F.col(f"sq.{k}") for k in LANGUAGES])
-    return F.greatest(*[F.when(F.col(f"sq.{k}") == best, F.col(f"sr.{k}")).otherwise(0) for k in LANGUAGES])
+    if asked and len(words) >= len(asked) and r_words <= q_words | _INTRO and f" {' '.join(asked)} " in f" {' '.join(words)} ":
+        mask |= COPY
+    if refuses(t, r_words):
+        mask |= REFUSAL
+    if kind == "qa" and asked and other_language(q, r, q_words, r_words):
+        mask |= WRONG_LANGUAGE
+    if breaks_off(t):
+        return mask | TRUNCATED, None
+    if kind == "qa" and " " in t and t[-1].isalpha() and (last := _LAST.search(t)):
+        return mask, last[1]
+    return mask, None
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        at, masks, lasts = [], [], []
+        for i, (kind, q, r) in enumerate(zip(*[b.column(c).to_pylist() for c in ("kind", "q", "r")])):
+            mask, last = judge(kind, q, r)
+            if mask or last:
+                at.append(i)
+                masks.append(mask)
+                lasts.append(last)
+        yield pa.RecordBatch.from_arrays([b.column("block_id").take(pa.array(at, pa.int64())), pa.array(masks, pa.int32()), pa.array(lasts, pa.string())], names=["block_id", "mask", "last"])
+
+
+def pairs_of(blocks: DataFrame) -> DataFrame:
+    """(block_id, kind, q, r): pairs of type qa or do."""
+    b = blocks.where(F.col("type").isin("qa", "do") & F.col("block_id").isNotNull())
+    return b.select("block_id", F.col("type").alias("kind"), "q", F.when(F.col("type") == "qa", F.col("a")).otherwise(F.col("do")).alias("r"))
 
 
 def whole_words(blocks: DataFrame) -> DataFrame:
@@ -180,23 +236,21 @@ def whole_words(blocks: DataFrame) -> DataFrame:
 def defects(blocks: DataFrame) -> DataFrame:
     """Rows (block_id, defects, defect) for every pair of type qa or do with at least one defect.
 
-    ``defects`` has all that were found, in the order empty, copy, refusal, wrong_language, truncated; ``defect`` is
-    the first. Null and blank responses are empty; a null question can be neither copied nor in another language. A
+    ``defects`` has every rule that holds, each tested whatever the others say, in the order empty, copy, refusal,
+    wrong_language, truncated; ``defect`` is the first. An empty response has nothing for the other rules to read.
+    Null and blank responses are empty; a null question can be neither copied nor in another language. A
     repeated block_id counts once (should its deliveries differ, with all their defects); rows with a null id or
     another type are left out. An empty table gives no rows.
 
     Responses that end without a stop in a word no other text has whole are truncated in the middle of that word. Only
-    the distinct last words meet the words of the corpus; the pairs then meet the short list of unknown ones.
+    the distinct last words meet the words of the corpus; the unknown ones meet the pairs again, hot ones by broadcast.
     """
-    # written before it is filtered: a filter would be pushed below and repeat every expression inside itself
-    flagged = materialize(_flags(pairs_of(blocks)), "flags").where("empty or copy or refusal or wrong_language or truncated or last is not null")
-    lasts = materialize(flagged.where("last is not null").groupBy(F.col("last").alias("word")).agg(F.count("*").alias("n")), "lasts")
-    cut = lasts.join(whole_words(blocks), "word", "left_anti").select(F.col("word").alias("last"), F.lit(True).alias("cut"))
-    known = flagged.where("last is null").withColumn("cut", F.lit(None).cast("boolean"))
-    looked = flagged.where("last is not null").join(cut, "last")
-    both = known.select("block_id", *ORDER, "cut").unionByName(looked.select("block_id", *ORDER, "cut"))
-    also = flagged.where("last is not null and (empty or copy or refusal or wrong_language or truncated)").select("block_id", *ORDER, F.lit(None).cast("boolean").alias("cut"))
-    flags = both.unionByName(also).withColumn("truncated", F.col("truncated") | F.coalesce("cut", F.lit(False)))
-    one = flags.groupBy("block_id").agg(*[F.bool_or(c).alias(c) for c in ORDER])
-    found = F.filter(F.array(*[F.when(F.col(c), F.lit(c)) for c in ORDER]), lambda x: x.isNotNull())
-    return one.select("block_id", found.alias("defects")).where(F.size("defects") > 0).withColumn("defect", F.col("defects")[0])
+    kind = blocks.schema["block_id"].dataType.simpleString()
+    flagged = materialize(pairs_of(blocks).mapInArrow(_judged, f"block_id {kind}, mask int, last string"), "flags")
+    lasts = flagged.where("last is not null").groupBy(F.col("last").alias("word")).agg(F.count("*").alias("n"))
+    cut = materialize(lasts.join(whole_words(blocks), "word", "left_anti").select(F.col("word").alias("last"), "n", F.lit(TRUNCATED).alias("cut")), "cut")
+    looked = hot_split_join(flagged.where("last is not null"), cut, "last", "n", keep_key=False).select("block_id", F.col("mask").bitwiseOR(F.col("cut")).alias("mask"))
+    # a row with a rule and a last word comes twice at most
+    one = flagged.where("mask <> 0").select("block_id", "mask").unionByName(looked).groupBy("block_id").agg(F.bit_or("mask").alias("mask"))
+    found = F.filter(F.array(*[F.when(F.col("mask").bitwiseAND(1 << i) != 0, F.lit(c)) for i, c in enumerate(ORDER)]), lambda x: x.isNotNull())
+    return one.select("block_id", found.alias("defects")).withColumn("defect", F.col("defects")[0])

@@ -72,13 +72,13 @@ def sample(r, parsed):
     return out
 
 
-def test_every_refusal_has_a_hint(spark):
+def test_every_refusal_has_a_hint():
     r = random.Random(1)
     rules = [x for group in defects.REFUSALS.values() for x in group]
-    ts = sorted({sample(r, re._parser.parse(x)).strip() for x in rules for _ in range(600)})
-    df = spark.createDataFrame([(t,) for t in ts], "t string").where(F.col("t").rlike(defects._any(rules)))
-    assert df.count() > 500
-    assert [x.t for x in df.where(~F.col("t").rlike(defects.HINTS)).collect()] == []
+    ts = sorted({sample(r, re._parser.parse(x)).strip() for x in rules for _ in range(2000)})
+    ts = [t for t in ts if defects._REFUSAL.search(t)]
+    assert len(ts) > 500
+    assert [t for t in ts if not defects.refuses(t, set(WORD.findall(t)))] == []
 
 
 def test_refusals_of_any_length_and_wording(spark):
@@ -94,11 +94,18 @@ def test_all_defects_of_a_pair(spark):
         (1, "qa", q, "Dazu kann ich leider nichts sagen, bitte frage jemand, der mit der Pumpe mehr zu tun hat.", None, None), (2, "qa", q, "I'm sorry, but I can't say what the", None, None),
         (3, "qa", "What is (the", "What is (the", None, None), (4, "qa", "Can I say I refuse?", "Can I say I refuse?", None, None), (5, "qa", q, "", None, None),
     ]
+    rows.append((6, "qa", q, "Die Pumpe wird of nach einer Stunde warm und bleibt dann nicht mehr leise, weil", None, None))
     got = {x.block_id: (x.defects, x.defect) for x in defects.defects(spark.createDataFrame(rows, BLOCKS)).collect()}
-    want = {1: ["refusal", "wrong_language"], 2: ["refusal", "truncated"], 3: ["copy", "truncated"], 4: ["copy", "refusal"], 5: ["empty"]}
+    want = {6: ["wrong_language", "truncated"], 1: ["refusal", "wrong_language"], 2: ["refusal", "truncated"], 3: ["copy", "truncated"], 4: ["copy", "refusal"], 5: ["empty"]}
     assert got == {k: (v, v[0]) for k, v in want.items()}
 
 
+def test_a_hot_cut_word(spark):
+    q = "What does the old pump do every morning?"
+    rows = [(i, "qa", q, f"It lifts {i} times the cold wat", None, None) for i in range(3000)] + [(9000, "qa", q, "It lifts water.", None, None)]
+    assert found(spark, rows) == dict.fromkeys(range(3000), "truncated")
+
+
 def test_defects_of_nothing(spark):
     assert found(spark, []) == {}
     assert found(spark, [(1, "prose", None, None, None, None), (2, "orphan_q", "x", None, None, None)]) == {}
