@@ -13,16 +13,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The classifier is fitted on at most so many rated documents, taken in hash order, and so many characters of them
-#: altogether, on one executor; ratings beyond that aren't needed for a model of this size.
+#: The classifier is fitted on one executor, on at most so many rated documents, taken in hash order, none of them longer
+#: than so many characters; both bound its memory, and ratings beyond them aren't needed for a model of this size.
 MAX_TRAINING_DOCS = 20_000
-MAX_TRAINING_CHARS = 60_000_000
+MAX_TRAINING_CHARS_EACH = 20_000
 #: Features are hashed to 2^BITS coordinates, so a model never has more weights than that.
 BITS = 20
-ALPHA, BETA, L1, L2 = 0.15, 1.0, 1.2, 0.5
+ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.6, 0.5
 ROUNDS, EPOCHS, BATCH = 3, 3, 64
 #: Log odds that the worst passage of a positive text must reach, by round, and those from which a negative text is doubted.
 LEAST, MOST = (-2.5, -1.5, -1.0), 2.0
@@ -33,42 +34,21 @@ THRESHOLD = 0.5
 SEED = 7
 
 # Characters that stand for letters in disguised words.
-DISGUISE = str.maketrans("0134578@$!|€+", "oieastbasiiet"[:13])
-# Common insults, dehumanising and sexually explicit words of five languages, without accents. They only
-# add features ("one such word", "several", "with an address in the second person"); what these are worth is learned.
-CHARGED = frozenset(
-    """arse arsehole arses ass asses asshole assholes bastard bastards bitch bitches braindead cockroaches cocksucker crap cretin cretins cunt
-    degenerate degenerates dickhead dimwit dipshit disgusting douchebag dumb dumbass faggot filth filthy freak fucked fucker fucking fuck fucks
-    goddamn halfwit idiot idiots imbecile imbeciles jackass jerk loser losers maggot miserable moron morons motherfucker nazi parasite parasites
-    pathetic pervert pig pigs prick pussy rats retard retarded savages scum scumbag shit shithead slut stupid subhuman subhumans trash traitor twat
-    ugly vermin wanker whore worthless animals
-    aroused boobs boner breasts cum dick dildo erection erotic explicit gangbang horny masturbate milf moaned naked nude nudes nipples orgasm
-    panties penis porn porno pornography randy sex sexy smut stripped tits topless undressed vagina xxx lovers
-    kill murder rape hang hanged choke drowned exterminate sterilise sterilize bullets smash stab gas lynch
-    abschaum arsch arschloch arschlocher bastarde dreck dreckig dreckige dreckiges dreckskerl dumm ficken fick fotze gesindel hure hurensohn idioten
-    maul missgeburt nackt nackte nutte penner sau scheiss scheisse schlampe schwein schweine spast titten trottel ungeziefer verdammter
-    verpiss verrecke vollidiot vollpfosten wertlos wertloses wichser geil ausgerottet
-    abruti abrutis batard bite bouffon chienne chier con conne connard connards connasse couilles creve crever debile enculer encule gueule
-    merde minable nique nue nu ordure ordures pute putain racaille sale salaud salaud salope vermine seins baiser excite
-    asco asqueroso basura bastardo cabron cabrones cachondo cachonda cerdo cono culo desnuda desnudo escoria estupido follar gilipollas hijo
-    idiotas inutil joder maricon mierda mueras pendejo polla puta puto ratas subnormal tetas zorra
-    cagna cazzo coglione coglioni cretino culo deficiente faccia feccia figa fottere idiota imbecille merda nuda nudo parassiti porco porca
-    puttana schifo schifoso stronza stronzo scemo tette troia vaffanculo crepa""".split()
-)
-#: Weights from which the fit starts; with many ratings they hardly matter.
-PRIOR = {"<1chargedyou>": 2.5, "<2charged>": 1.5, "<2chargedyou>": 2.5, "<1charged>": 0.5}
-SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine deinen ihr euch tu te toi ton ta tes vous votre vos ti tus tuo tua tuoi vosotros usted".split())
-
+DISGUISE = str.maketrans("0134578@$!|€+", "oieastbasiiet")
 _ZERO = re.compile("[​-‏⁠﻿­᠎]")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .\-_*·]){3,}[^\W\d_](?![^\W_])")
 _LONG = re.compile(r"([^\W\d_])\1{2,}")
 _TOKEN = re.compile(r"[^\W_][^\W_@$!|*€+]*(?:[@$!|*€+]+[^\W_]+)*[@$]*|[@$][^\W_]+(?:[@$!*]+[^\W_]*)*")
 _MASK = re.compile(r"[^\W_]\*+[^\W_]")
-_SPLIT = re.compile(r"[.!?。؟…;\n\r]+|(?<=[^\W\d_]),(?=\s)(?!)")
+_SPLIT = re.compile(r"[.!?。؟…;\n\r]+")
+_ODD = re.compile(r"[^a-z \t,:()'\"/>#_-]")
+_PLAIN = re.compile("[a-z]+")
 
 
 def plain_tokens(passage: str) -> list[str]:
     """The words of a passage with the usual disguises taken off."""
+    if not _ODD.search(passage):
+        return _PLAIN.findall(passage)
     out = []
     for w in _TOKEN.findall(passage):
         if w.isalpha() and w.isascii():
@@ -95,36 +75,27 @@ def plain_tokens(passage: str) -> list[str]:
 
 def passages(text: str) -> list[list[str]]:
     """The passages of a text, each as its words: sentences and lines, disguises removed; none for blank texts."""
-    t = _ZERO.sub("", text)
-    t = unicodedata.normalize("NFKC", t).casefold()
+    t = text.lower() if text.isascii() else unicodedata.normalize("NFKC", _ZERO.sub("", text)).casefold()
     t = _SPACED.sub(lambda m: re.sub(r"[ .\-_*·]", "", m[0]), t)
     t = _LONG.sub(r"\1", t)
     return [w for p in _SPLIT.split(t) if (w := plain_tokens(p))]
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashed features of all passages, where each passage begins, and the text of each passage.
+def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed features of all passages, the passage of each feature, and the text of each passage.
 
-    A passage has its words, pairs of neighbouring words, pairs with one or two words between (skip-grams), and how
-    many charged words it has, with or without an address in the second person.
+    A passage has its words, pairs of neighbouring words, and pairs with one or two words between (skip-grams).
     """
-    words: dict[str, int] = {}
-    ids: list[int] = []
+    words: list[str] = []
     sizes: list[int] = []
     owner: list[int] = []
     for k, t in enumerate(texts):
         for p in passages(t):
-            n = sum(w in CHARGED or w == "<masked>" for w in p)
-            if n:
-                tag = f"<{min(n, 2)}charged>"
-                p = [*p, tag, tag + "you"] if any(w in SECOND_PERSON for w in p) else [*p, tag]
-            ids.extend(words.setdefault(w, len(words)) for w in p)
+            words += p
             sizes.append(len(p))
             owner.append(k)
-    if not ids:
-        z = np.empty(0, np.int64)
-        return z, z, z
-    h = pd.util.hash_array(np.array(list(words), dtype=object), categorize=False).astype(np.uint64)[np.array(ids)]
+    coded = pa.array(words, pa.string()).dictionary_encode()
+    h = pd.util.hash_array(coded.dictionary.to_numpy(zero_copy_only=False), categorize=False).astype(np.uint64)[coded.indices.to_numpy()]
     pas = np.repeat(np.arange(len(sizes)), sizes)
     parts, where = [h], [pas]
     for gap in (1, 2, 3):
@@ -133,11 +104,20 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         x = (a[same] * np.uint64(0x9E3779B97F4A7C15) ^ (b[same] + np.uint64(min(gap, 2)))) * np.uint64(0xBF58476D1CE4E5B9)
         parts.append(x ^ (x >> np.uint64(29)))
         where.append(pas[:-gap][same])
-    f, w = np.concatenate(parts), np.concatenate(where)
-    # every feature once in a passage, however often it repeats
-    both = np.unique((w.astype(np.int64) << BITS) | (f >> np.uint64(64 - BITS)).astype(np.int64))
-    f, w = both & ((1 << BITS) - 1), both >> BITS
-    return f, np.searchsorted(w, np.arange(len(sizes))), np.array(owner)
+    return (np.concatenate(parts) >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate(where), np.array(owner, np.int64)
+
+
+def once(f: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every feature once in a passage, however often it repeats, in order of passages."""
+    both = np.unique((where << BITS) | f)
+    return both & ((1 << BITS) - 1), both >> BITS
+
+
+def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed features of all passages, where each passage begins, and the text of each passage."""
+    f, where, owner = hashed(texts)
+    f, where = once(f, where)
+    return f, np.searchsorted(where, np.arange(len(owner))), owner
 
 
 class Ftrl:
@@ -147,13 +127,10 @@ class Ftrl:
         self.z = np.zeros(1 << BITS)
         self.n = np.zeros(1 << BITS)
         self.bias_z = self.bias_n = self.shift = 0.0
-        self.prior = np.zeros(1 << BITS)
-        for tag, w in PRIOR.items():
-            self.prior[(pd.util.hash_array(np.array([tag], dtype=object), categorize=False) >> np.uint64(64 - BITS)).astype(np.int64)] = w
 
     def weights(self, f: np.ndarray | slice) -> np.ndarray:
         z = self.z[f]
-        return self.prior[f] + np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(self.n[f])) / ALPHA + L2))
+        return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(self.n[f])) / ALPHA + L2))
 
     def bias(self) -> float:
         return self.shift - self.bias_z / ((BETA + self.bias_n**0.5) / ALPHA + L2)
@@ -230,28 +207,29 @@ def fit(texts: list[str], y: np.ndarray) -> Ftrl:
 
 
 def _train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    b = pd.concat(list(batches), ignore_index=True)
-    b = b.sort_values(["h", "doc_id"], kind="stable")
-    room = b["text"].str.len().cumsum() <= MAX_TRAINING_CHARS
-    b = b[room]
+    b = pd.concat(list(batches), ignore_index=True).sort_values(["h", "doc_id"], kind="stable")
     model = fit(list(b["text"]), b["y"].to_numpy())
     w = model.weights(slice(None))
     at = np.flatnonzero(w)
     yield pd.DataFrame({"slot": np.r_[-1, at].astype(np.int64), "w": np.r_[model.bias(), w[at]]})
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, y, h): rated documents by majority of their ratings; ties and documents without a rating are left out."""
+def training_rows(docs: DataFrame, labels: DataFrame, n: int = MAX_TRAINING_DOCS) -> DataFrame:
+    """(doc_id, text, y, h): the first n rated documents in hash order, by majority of their ratings.
+
+    Ties, documents without a rating and texts above MAX_TRAINING_CHARS_EACH are left out. Of an id with several texts
+    the first in order counts. Only the ids travel, n at most; the texts of other documents stay where they are.
+    """
     votes = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.avg("toxic").alias("v")).where("v <> 0.5")
-    rated = docs.where("text is not null").select("doc_id", "text").join(votes, "doc_id")
-    one = rated.groupBy("doc_id").agg(F.first("text").alias("text"), F.first("v").alias("v"))
-    return one.select("doc_id", "text", (F.col("v") > 0.5).cast("int").alias("y"), F.xxhash64("doc_id", F.lit(SEED)).alias("h"))
+    chosen = votes.select("doc_id", (F.col("v") > 0.5).cast("int").alias("y"), F.xxhash64("doc_id", F.lit(SEED)).alias("h")).orderBy("h", "doc_id").limit(n)
+    rated = docs.where(F.col("text").isNotNull() & (F.length("text") <= MAX_TRAINING_CHARS_EACH)).select("doc_id", "text")
+    return rated.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y", "h").agg(F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> dict:
     """{"slot", "w", "bias"}: the sparse weights, at most 2^BITS of them. Without ratings of both kinds every score is 0."""
-    rows = training_rows(docs, labels).orderBy("h", "doc_id").limit(MAX_TRAINING_DOCS)
-    got = rows.coalesce(1).mapInPandas(_train, "slot long, w double").toPandas()
+    rows = training_rows(docs, labels).select("doc_id", "text", "y", "h")
+    got = rows.repartition(1).mapInPandas(_train, "slot long, w double").toPandas()
     bias = got.loc[got["slot"] < 0, "w"]
     got = got[got["slot"] >= 0]
     return {"slot": got["slot"].to_numpy(np.int64), "w": got["w"].to_numpy(np.float64), "bias": float(bias.iloc[0]) if len(bias) else -30.0}
@@ -264,9 +242,10 @@ def _score(model):
         w[m["slot"]] = m["w"]
         for b in batches:
             top = np.full(len(b), -np.inf)
-            f, starts, owner = features([t or "" for t in b["text"]])
-            if len(owner):
-                np.maximum.at(top, owner, passage_scores(w, m["bias"], f, starts))
+            f, where, owner = hashed([t or "" for t in b["text"]])
+            known = w[f] != 0  # nearly all features have no weight
+            f, where = once(f[known], where[known])
+            np.maximum.at(top, owner, np.bincount(where, w[f], len(owner)) + m["bias"])
             b = b.drop(columns="text")
             b["score"] = np.where(np.isinf(top), 0.0, np.round(1 / (1 + np.exp(-np.clip(top, -30, 30))), 6))
             yield b
