@@ -415,10 +415,19 @@ def test_held_out_accuracy_with_wrong_ratings(spark):
 
 
 def test_disguises_come_off():
-    said = [w for p in toxic.passages("f.i.l.t.h.y W​anker, lossssser t1t$ d u m m y gg6189") for w in p]
+    said = [p for w in next(toxic.raw_tokens(["f.i.l.t.h.y W​anker, lossssser t1t$ d u m m y gg6189"])) if (p := toxic.plain(w))]
     assert said[:5] == ["filthy", "wanker", "loser", "tits", "dummy"] and "<id>" in said
 
 
+def test_suspects_miss_no_text():
+    r = random.Random(4)
+    texts = ["".join(r.choice("ab  .-_*x1é") for _ in range(r.randrange(0, 30))) for _ in range(3000)] + ["", "aaa", "a b c d"]
+    apart, triple = toxic.suspects(texts)
+    for t, x, y in zip(texts, apart, triple):
+        assert x or not toxic._SPACED.search(t)
+        assert y or not toxic._LONG.search(t)
+
+
 def test_sql_fits_queries():
     from grainmill.llm import queries
 
