@@ -364,12 +364,40 @@ def test_leaks_equal_brute_force(spark):
     assert leaks.leaks(df.where("false"), e).count() == 0 and leaks.leaks(df, e.where("false")).count() == 0
 
 
-def test_items_in_blocks_give_the_same(spark, monkeypatch):
-    e = spark.createDataFrame([(i, f"one{i} two three four five six seven{i}") for i in range(9)], "item_id long, text string")
-    df = spark.createDataFrame([(i, f"x one{i} two three four five six seven{i} y") for i in range(9)], "doc_id long, text string")
-    whole = {tuple(x) for x in leaks.leaks(df, e).collect()}
-    monkeypatch.setattr(leaks, "ITEMS_PER_BLOCK", 4)
-    assert {tuple(x) for x in leaks.leaks(df, e).collect()} == whole and len(whole) == 9
+def test_few_errors_prove_a_leak_and_others_are_looked_at(monkeypatch):
+    r = random.Random(12)
+    proved = 0
+    for _ in range(3000):
+        item = [f"w{r.randrange(200)}" for _ in range(r.randrange(7, 66))]
+        w = list(item)
+        for _ in range(r.randrange(0, 12)):
+            k = r.randrange(len(w) + 1)
+            w[k : k + r.randrange(0, 2)] = [f"x{r.randrange(99)}"] * r.randrange(0, 2)
+        text = leaks._Text(" ".join(["and", *w, "then"]))
+        exact = leaks.covered(item, text.grams)
+        got = leaks.verify(item, text)
+        assert (got is not None) == (2 * exact >= len(item))
+        if got:
+            assert got[0] <= exact
+            proved += 0 < got[1] and leaks.least_covered(len(item), got[1]) * 2 >= len(item)
+    assert proved > 100
+    # the distance decides: if it were always 0, three words in common would be a leak
+    item, text = "a b c d e f g h i j k l".split(), leaks._Text("x a b c y d e f z g h i")
+    assert leaks.verify(item, text) is None
+    monkeypatch.setattr(leaks, "myers", lambda p, t: 0)
+    assert leaks.verify(item, text) is not None
+
+
+def test_common_pieces_and_a_full_bitmap(spark, monkeypatch):
+    e = [(i, f"how do i open the lid of pump number{i} when it is cold outside today") for i in range(40)]
+    docs = [(i, f"x how do i open the lid of pump number{i % 60} when it is y") for i in range(3000)]
+    df, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(e, "item_id long, text string")
+    # eight words of the others' run and more: every document holds half of every item
+    want = {(d, i) for d, t in docs for i, s in e if leaks.verify(leaks.printed_words(s), leaks._Text(t))}
+    got = {(x.doc_id, x.item_id) for x in leaks.leaks(df, items).collect()}
+    assert got == want and len(want) > 2000
+    monkeypatch.setattr(leaks, "MOST_BITS", 4)
+    assert {(x.doc_id, x.item_id) for x in leaks.leaks(df, items).collect()} == want
 
 
 def test_print_makes_no_difference(spark):
