@@ -11,8 +11,7 @@ from grainmill.session import hot_split_join, materialize
 def _least_neighbour(edges: DataFrame) -> DataFrame:
     """(u, v, m): m is the least of u and all its neighbours, for every directed edge u->v."""
     least = materialize(edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n")), "least")
-    text = least.select(F.col("u").cast("string").alias("k"), "m", "n")
-    return hot_split_join(edges.withColumn("k", F.col("u").cast("string")), text, "k", "n").select("u", "v", "m")
+    return hot_split_join(edges, least, "u", "n").select("u", "v", "m")
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:

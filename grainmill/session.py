@@ -33,12 +33,14 @@ def local_session(cores: str = "8", name: str = "grainmill", **conf: str) -> Spa
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) is a temporary folder made and set.
+    Only where the session names none and runs on one machine (tests) is a temporary folder made and set.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = "file://" + tempfile.mkdtemp(prefix="grainmill-")
     sc.setCheckpointDir(made)
     return sc.getCheckpointDir() or made
@@ -61,29 +63,25 @@ HOT_SHARE = 1 / 2000
 
 
 def hot_split_join(rows: DataFrame, lookup: DataFrame, key: str, n_col: str, how: str = "inner", keep_key: bool = True) -> DataFrame:
-    """Join many rows with a lookup that has one row per string key, where any key may hold a third of all rows.
-
-    ``lookup`` carries in ``n_col`` how many rows each key has. Keys above HOT_SHARE of the total are at most
-    1/HOT_SHARE many whatever the data, so their lookup rows are broadcast; the rest meets in a shuffle join. Rows
-    already answered by the broadcast travel under a made-up key each, so no task receives a hot key. ``rows`` is
-    evaluated once. ``how`` is inner or left. Pass a ``lookup`` that is cheap to read twice (a written table). Without
-    ``keep_key`` the key isn't part of the result, and hot keys don't travel.
+    """Join many rows with a lookup that has one row per key, where any key may hold a third of all rows.
+
+    ``lookup`` carries in ``n_col`` how many rows each key has. The rows of a key above HOT_SHARE of the total are
+    salted into parts of that size, and its lookup row is repeated for each part, so no task receives a hot key. Only
+    the hashes of hot keys with their numbers of parts are broadcast: fewer than 1/HOT_SHARE pairs of numbers, whatever
+    the data and however large a lookup row is. (Keys of equal hash are salted alike, which changes no result.)
+    ``rows`` is evaluated once. ``how`` is inner or left. Pass a ``lookup`` that is cheap to read twice (a written
+    table). Without ``keep_key`` the key isn't part of the result. Null keys find nothing and are spread.
     """
     value = [c for c in lookup.columns if c not in (key, n_col)]
-    total = lookup.agg(F.sum(n_col)).first()[0] or 0
-    limit = max(1.0, total * HOT_SHARE)
-    hot = lookup.where(F.col(n_col) > limit).select(F.col(key).alias("_hk"), F.struct(*value).alias("_hv"))
-    cold = lookup.where(F.col(n_col) <= limit).select(F.col(key).alias("_ck"), F.struct(*value).alias("_cv"))
-    spread = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(*rows.columns), F.lit(99_991)).cast("string"))
-    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left").withColumn(
-        "_jk", F.when(F.col("_hk").isNotNull() | F.col(key).isNull(), spread).otherwise(F.col(key))
-    )
-    kept = [c for c in rows.columns if keep_key or c != key]
-    joined = marked.select(*kept, "_hv", "_jk").join(cold.hint("shuffle_merge"), F.col("_jk") == F.col("_ck"), "left")
-    if how == "inner":
-        joined = joined.where(F.col("_hv").isNotNull() | F.col("_cv").isNotNull())
-    got = F.coalesce("_hv", "_cv")
-    return joined.select(*kept, *[got[c].alias(c) for c in value])
+    limit = max(1.0, (lookup.agg(F.sum(n_col)).first()[0] or 0) * HOT_SHARE)
+    hot = lookup.where(F.col(n_col) > limit).groupBy(F.xxhash64(key).alias("_hk")).agg(F.max(F.ceil(F.col(n_col) / limit)).alias("_parts"))
+    spread = F.xxhash64(*rows.columns)
+    salt = F.when(F.col(key).isNull(), F.pmod(spread, F.lit(99_991))).when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts"))).otherwise(F.lit(0))
+    salted = rows.join(F.broadcast(hot), F.xxhash64(key) == F.col("_hk"), "left").select(*rows.columns, salt.cast("int").alias("_salt"))
+    each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)).cast("int") - 1)).alias("_at")
+    found = lookup.select(F.col(key).alias("_key"), F.struct(*value).alias("_value")).join(F.broadcast(hot), F.xxhash64("_key") == F.col("_hk"), "left").select("_key", "_value", each)
+    joined = salted.join(found.hint("shuffle_merge"), (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_at")), how)
+    return joined.select(*[c for c in rows.columns if keep_key or c != key], *[F.col("_value")[c].alias(c) for c in value])
 
 
 def ratio_bucket(*cols: Column | str, n: int) -> Column:

@@ -293,6 +293,16 @@ def test_hot_split_join_equals_plain_join(spark):
     look = materialize(df.where("k is not null and k <> 'missing'").groupBy("k").agg(F.count("*").alias("n"), F.first(F.length("k")).alias("v")), "t")
     assert {tuple(x) for x in hot_split_join(df, look, "k", "n").collect()} == {(i, k, len(k)) for i, k in rows if k and k != "missing"}
     assert hot_split_join(df, look, "k", "n", "left").where("v is null").count() == 2
+    assert {tuple(x) for x in hot_split_join(df, look, "k", "n", "left", keep_key=False).collect()} == {(i, len(k) if k and k != "missing" else None) for i, k in rows}
+    # each part of a hot key has about 1/2000 of the rows: a number of the key's tasks, not one
+    many = spark.range(40_000).selectExpr("id", "if(id % 2 = 0, 'hot', string(id)) as k")
+    counts = materialize(many.groupBy("k").agg(F.count("*").alias("n")).withColumn("v", F.length("k")), "look")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = hot_split_join(many, counts, "k", "n").withColumn("task", F.spark_partition_id())
+        assert got.count() == 40_000 and got.where("k = 'hot'").select("task").distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_sinks(spark, tmp_path):
