@@ -36,7 +36,7 @@ def p2_fill(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_groups(spark: SparkSession, sf: str) -> DataFrame:
-    """One row for every answer of 12 or more words: its group and the number of its links."""
+    """One row for every answer of 12 or more words: its group."""
     return forest.near_groups(_table(spark, sf, "answers"))
 
 

@@ -210,16 +210,6 @@ def test_crowded_region_stays_one_group(spark, monkeypatch):
     assert len(got) == 400 and {x.group_id for x in got} == {0}
 
 
-def brute_links(rows):
-    sets = {i: Counter(zip(a.split(), a.split()[1:])) for i, a in rows}
-    n = Counter()
-    for i in sets:
-        for j in sets:
-            if i < j and 2 * (sets[i] & sets[j]).total() >= max(sets[i].total(), sets[j].total()):
-                n.update((i, j))
-    return {i: n[i] for i in sets}
-
-
 def reworked(size):
     """Half of each text is that of all, the other half is shared with one text that has nothing else of it."""
     r = random.Random(3)
@@ -232,20 +222,59 @@ def reworked(size):
     return rows
 
 
+def groups_of(spark, rows):
+    return {x.answer_id: x.group_id for x in forest.near_groups(spark.createDataFrame(rows, "answer_id long, a string")).collect()}
+
+
 def test_links_of_a_hot_text_equal_brute_force(spark):
     rows = reworked(150)
-    got = {x.answer_id: x.n_links for x in forest.near_groups(spark.createDataFrame(rows, "answer_id long, a string")).collect()}
-    want = brute_links(rows)
-    assert got == want and max(want.values()) > 140
+    assert groups_of(spark, rows) == brute_groups(rows)
+
+
+def many_edits(seed=8):
+    r = random.Random(seed)
+    base = [f"common{i}" for i in range(30)]
+    return [(i, edited(r, base, r.randrange(4, 26))) for i in range(250)]
 
 
 def test_crowded_lists_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(forest, "CROWDED", 16)
-    r = random.Random(8)
-    base = [f"common{i}" for i in range(30)]
-    rows = [(i, edited(r, base, r.randrange(4, 16))) for i in range(250)]
-    got = {x.answer_id: x.n_links for x in forest.near_groups(spark.createDataFrame(rows, "answer_id long, a string")).collect()}
-    assert got == brute_links(rows)
+    rows = many_edits()
+    assert groups_of(spark, rows) == brute_groups(rows)
+
+
+def test_what_the_forest_leaves_apart_is_found_exactly(spark, monkeypatch):
+    rows = many_edits(9) + [(1000 + i, a) for i, a in reworked(60)]
+    want = brute_groups(rows)
+    monkeypatch.setattr(forest, "forest_pairs", lambda sets, similarity: sets.select(F.col("rep").alias("lo"), F.col("rep").alias("hi")).where("false"))
+    for crowded in (20_000, 16):
+        monkeypatch.setattr(forest, "CROWDED", crowded)
+        assert groups_of(spark, rows) == want
+
+
+def test_the_forest_alone_finds_nearly_all(spark, monkeypatch):
+    r = random.Random(6)
+    vocab = [f"w{i}" for i in range(3000)]
+    rows = []
+    for _ in range(300):
+        base = [r.choice(vocab) for _ in range(r.randrange(20, 60))]
+        rows += [(len(rows) + k, edited(r, base, r.randrange(1, 6))) for k in range(3)]
+    want = brute_groups(rows)
+    monkeypatch.setattr(forest, "left_pairs", lambda sets, similarity: sets.select(F.col("rep").alias("lo"), F.col("rep").alias("hi")).where("false"))
+    got = groups_of(spark, rows)
+    assert sum(got[i] == want[i] for i in want) > 0.95 * len(want)
+
+
+def test_possible_refuses_no_link():
+    r = random.Random(7)
+    texts = [edited(r, [f"c{i}" for i in range(40)], r.randrange(0, 30)) for _ in range(200)]
+    h, starts = forest.shingles(texts)
+    n, bits = np.diff(np.r_[starts, len(h)]), forest._bitmaps(h, starts)
+    sets = [set(x) for x in np.split(h, starts[1:])]
+    i, j = np.triu_indices(len(texts), 1)
+    links = np.array([len(sets[a] & sets[b]) >= 0.5 * max(n[a], n[b]) for a, b in zip(i, j)])
+    possible = forest._possible(i, j, n, bits, 0.5)
+    assert links.any() and not (links & ~possible).any() and (~possible).any()
 
 
 def test_group_pairs_of_a_large_group(spark):
