@@ -2,43 +2,77 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.session import hot_split_join, materialize
+from grainmill.session import materialize
+
 
+def _star(large: bool):
+    """Scans directed edges (u, v, moved) sorted by u and v, where m is the least neighbour of u.
+
+    The large star (all edges, both ways) links the greater neighbours of u with the lesser of u and m; the small star
+    (edges to lesser nodes) links u and its other neighbours with m. Should a node's edges be split over partitions,
+    each links with its own m and with u, so nothing falls apart. Memory is one batch, whatever a node's degree.
+    """
 
-def _least_neighbour(edges: DataFrame) -> DataFrame:
-    """(u, v, m): m is the least of u and all its neighbours, for every directed edge u->v."""
-    least = materialize(edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n")), "least")
-    return hot_split_join(edges, least, "u", "n").select("u", "v", "m")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_u = last_v = least = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            u, v, moved = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            new, again = np.ones(len(u), bool), np.zeros(len(u), bool)
+            new[1:] = u[1:] != u[:-1]
+            again[1:] = ~new[1:] & (v[1:] == v[:-1])
+            if last_u == u[0]:
+                new[0], again[0] = False, v[0] == last_v
+            at = np.maximum.accumulate(np.where(new, np.arange(len(u)), -1))
+            m = np.where(at < 0, v[0] if least is None else least, v[np.maximum(at, 0)])
+            last_u, last_v, least = u[-1], v[-1], m[-1]
+            if large:
+                m = np.minimum(u, m)
+                keep = ~again & (v > u)
+                out = v[keep], m[keep], (m < u)[keep]
+            else:
+                keep = ~again
+                other = (v != m)[keep]
+                out = np.where(other, v[keep], u[keep]), m[keep], moved[keep] | other
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["u", "v", "moved"])
+
+    return run
+
+
+def _round(edges: DataFrame) -> DataFrame:
+    """One large star and one small star: two exchanges. Hot nodes are split where the exchange is rebalanced."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "moved"))
+    schema = "u long, v long, moved boolean"
+    large = both.hint("rebalance", "u").sortWithinPartitions("u", "v").mapInArrow(_star(True), schema)
+    return large.hint("rebalance", "u").sortWithinPartitions("u", "v").mapInArrow(_star(False), schema)
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Rows (node, component) for every node of an undirected edge list of integer ids; component is its least node.
 
-    Alternating large-star and small-star rounds, each written to the shared folder, until nothing changes; the number
-    of rounds grows with the logarithm of the longest path. Self loops give a component of their own, null ends are
-    ignored, repeated edges count once. Nodes of very high degree are spread (see ``hot_split_join``). Only two
-    numbers per round reach the driver.
+    Alternating large-star and small-star rounds until nothing moves; each is one job that writes one table to the
+    shared folder, and their number grows with the logarithm of the longest path. Self loops give a component of their
+    own, null ends are ignored, repeated edges count once. Nodes of very high degree are scanned, never collected. Only
+    whether anything moved reaches the driver.
     """
     clean = edges.select(F.col(src).cast("long").alias("a"), F.col(dst).cast("long").alias("b")).where("a is not null and b is not null")
     nodes = clean.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("component"))
-    cur = materialize(clean.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    state = None
+    cur = clean.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"), F.lit(False).alias("moved"))
     while True:
-        both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _least_neighbour(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialize(large, "large")
-        small = _least_neighbour(large)
-        nxt = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        cur = materialize(nxt.where("u <> v").distinct(), "edges")
-        now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        cur = materialize(_round(cur.withColumn("moved", F.lit(False))), "edges")
+        if not cur.where("moved").limit(1).count():
             break
-        state = now
+    stars = cur.select("u", "v").distinct()
     roots = cur.select(F.col("v").alias("node")).distinct()
-    found = cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
+    found = stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
     return found.unionByName(nodes.join(found, "node", "left_anti").distinct())
 
 
