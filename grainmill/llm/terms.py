@@ -6,6 +6,7 @@ partitions. A term whose run crosses partitions leaves one partial count in each
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,10 @@ from pyspark.sql import functions as F
 #: A term is rare in at most so many records, and common in more than one in so many of all records.
 RARE_RECORDS = 2
 COMMON_ONE_IN = 20
+#: Bytes of pairs that a range is meant to have, by the characters of the texts; above LEAST_BYTES * RANGES altogether it
+#: grows, up to MOST_BYTES, so that their number stays in bounds.
+BYTES_PER_CHAR = 2.5
+LEAST_BYTES, MOST_BYTES, RANGES = 8 << 20, 256 << 20, 4000
 
 
 def _changes(a: pa.Array, last) -> np.ndarray:
@@ -62,6 +67,11 @@ def scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([run[0]], pa.string()), pa.array([run[1]], pa.int64()), pa.array([run[2]], pa.int64())], names=names)
 
 
+def n_ranges(size: float) -> int:
+    """How many ranges pairs of so many bytes are sorted in."""
+    return max(1, math.ceil(size / min(MOST_BYTES, max(LEAST_BYTES, size / RANGES))))
+
+
 def term_counts(records: DataFrame, id_col: str = "block_id", fields: tuple[str, ...] = ("q", "a")) -> DataFrame:
     """Rows (term, occurrences, records) for every distinct term of the fields.
 
@@ -69,9 +79,10 @@ def term_counts(records: DataFrame, id_col: str = "block_id", fields: tuple[str,
     deliveries of an id (same words) count once. Null fields have no terms; rows with a null id are left out. An empty
     table gives no rows.
 
-    The sort key is (term, record), so a term that fills a third of the corpus is spread over as many partitions as
-    its rows need; no task holds a term's records.
+    The sort key is (term, record), so a term that fills a third of the corpus is spread over as many ranges as its
+    rows need, and the number of ranges follows from the size of the texts; no task holds a term's records.
     """
+    chars = records.agg(F.sum(sum(F.coalesce(F.length(f), F.lit(0)) for f in fields).cast("double"))).first()[0] or 0.0
     text = F.lower(F.concat_ws(" ", *[F.col(f) for f in fields]))
     pairs = (
         records.where(F.col(id_col).isNotNull())
@@ -79,7 +90,7 @@ def term_counts(records: DataFrame, id_col: str = "block_id", fields: tuple[str,
         .where("term <> ''")
         .select("term", "rec", "pos")
     )
-    runs = pairs.repartitionByRange("term", "rec").sortWithinPartitions("term", "rec", "pos").mapInArrow(scan_runs, "term string, occurrences long, records long")
+    runs = pairs.repartitionByRange(n_ranges(chars * BYTES_PER_CHAR), "term", "rec").sortWithinPartitions("term", "rec", "pos").mapInArrow(scan_runs, "term string, occurrences long, records long")
     return runs.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
 
 

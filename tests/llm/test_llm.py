@@ -329,6 +329,11 @@ def test_terms_equal_brute_force(spark):
     assert terms.marked_terms(df.where("false")).count() == 0
 
 
+def test_ranges_follow_the_size():
+    assert terms.n_ranges(0) == 1 and terms.n_ranges(80 << 20) == 10
+    assert terms.n_ranges(1 << 40) == 4096 and terms.n_ranges(1 << 44) == 1 << 16
+
+
 # ---- 6 encoding ----
 
 
