@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.llm.bitmap import bitmap_of, kept
 from grainmill.session import hot_split_join, materialize
 
 #: Letters counted by the histogram of the first refinement; any choice is correct, frequent ones separate best.
@@ -51,12 +52,13 @@ def copies(records: DataFrame, id_col: str = "pair_id", fields: tuple[str, ...]
     # 1: classes by cheap invariants; only (class, id) moves, pre-aggregated before the shuffle
     sizes = rec.groupBy("_c").agg(F.count("*").alias("_n"), F.min("_id").alias("_lo"), F.max("_id").alias("_hi"))
     sizes = materialize(sizes.where(F.col("_lo") != F.col("_hi")).drop("_lo", "_hi"), "classes")
-    # 2: the exact key, inside classes with several records only
-    inside = hot_split_join(rec, sizes.withColumn("_in", F.lit(1)), "_c", "_n")
+    # 2: the exact key, inside classes with several records only: a bitmap of these drops nearly all other records where
+    # they stand, and keys of the few more that it lets through meet nobody
+    inside = kept(rec.withColumn("_h", F.xxhash64("_c")).drop("_c"), "_h", *bitmap_of(sizes.select(F.xxhash64("_c").alias("_h")), "_h"))
     key = F.sha2(F.concat_ws("\n", F.array_sort(F.array(*[words_text(f"_f{i}") for i in range(len(fields_))]))), 256)
     keyed = materialize(inside.select("_id", key.alias("_k")).distinct(), "keys")
-    kept = materialize(keyed.groupBy("_k").agg(F.min("_id").alias("keep_id"), F.count("*").alias("n_copies")).where("n_copies > 1"), "kept")
-    several = hot_split_join(keyed, kept.withColumn("_n", F.col("n_copies")), "_k", "_n")
+    sets = materialize(keyed.groupBy("_k").agg(F.min("_id").alias("keep_id"), F.count("*").alias("n_copies")).where("n_copies > 1"), "sets")
+    several = hot_split_join(keyed, sets.withColumn("_n", F.col("n_copies")), "_k", "_n")
     return several.select(F.col("_id").alias(id_col), "keep_id", "n_copies")
 
 
