@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from grainmill.llm.bitmap import bitmap_of, has, kept
 from grainmill.session import hot_split_join, materialize
 
 #: Words of a piece. A run of RUN or more shared words always holds a whole piece, as PIECE <= (RUN + 1) / 2.
@@ -28,10 +29,6 @@ PIECE = 3
 RUN = 6
 #: The share of an item's words that must lie in such runs.
 SHARE = 0.5
-#: Bits for each piece in the bitmap of pieces, and the most bits it may have; a fuller one lets more rows through to
-#: the join and changes no result.
-BITS_PER_PIECE, MOST_BITS = 32, 27
-
 # Letters of other scripts that print like Latin ones.
 LOOKALIKES = str.maketrans("аеорсухіјѕһԁԛԝӏтмнквοανρτυικχεγ", "aeopcyxijshdqwltmhkboavptuikxey")
 _WORD = re.compile(r"[^\W_]+")
@@ -143,26 +140,13 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["item", "k", "piece", "m"])
 
 
-def _bitmap(bits: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        x = np.zeros(1 << (bits - 3), np.uint8)
-        for b in batches:
-            at = b["piece"].to_numpy(np.int64) & ((1 << bits) - 1)
-            np.bitwise_or.at(x, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        yield pd.DataFrame({"x": [x.tobytes()]})
-
-    return run
-
-
 def _hits(bitmap, bits: int):
     """(id, h, t) to (id, h, piece): every different three words of a text that the bitmap has."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        have = np.frombuffer(bitmap.value, np.uint8)
         for b in batches:
             x, ends = _hashes(list(b["t"]))
-            at = x & ((1 << bits) - 1)
-            at = np.flatnonzero(have[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            at = np.flatnonzero(has(bitmap.value, bits, x))
             of = np.searchsorted(ends, at, "right") - 1
             inside = at + PIECE <= ends[of + 1]
             yield b[["id", "h"]].iloc[of[inside]].assign(piece=x[at[inside]]).drop_duplicates()
@@ -228,17 +212,14 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     or rows give one row each pair of ids, with the greatest cover. Empty tables give no rows.
 
     A leak holds some number m of its item's pieces, so one of all but the m - 1 commonest is among them: only those
-    are joined. Pieces that many documents hold are joined by broadcast. Texts are read again for the candidates only;
-    their list is broadcast while Spark finds it small, else both meet in a shuffle.
+    are joined. Pieces that many documents hold are salted. A bitmap of the candidates drops other texts before any text
+    travels.
     """
     spark = docs.sparkSession
     src = items.where(F.col(item_text).isNotNull() & F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("item"), F.xxhash64(item_text).alias("k"), F.col(item_text).alias("t")).distinct()
     base = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
     pieces = materialize(src.mapInPandas(_pieces, "item long, k long, piece long, m int"), "pieces")
-    bits = min(MOST_BITS, max(16, math.ceil(math.log2(1 + BITS_PER_PIECE * pieces.count()))))
-    slots = pieces.select(F.col("piece").bitwiseAND((1 << bits) - 1).alias("piece")).distinct().repartition(1)
-    row = slots.mapInPandas(_bitmap(bits), "x binary").first()  # 2^bits bits
-    bitmap = spark.sparkContext.broadcast(bytes(row["x"]) if row else bytes(1 << (bits - 3)))
+    bitmap, bits = bitmap_of(pieces, "piece")
     hits = materialize(base.mapInPandas(_hits(bitmap, bits), "id long, h long, piece long"), "hits")
     often = hits.groupBy("piece").agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy("item", "k").orderBy(F.desc("n"), "piece"))  # an item's pieces
@@ -246,7 +227,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     lookup = materialize(rare.groupBy(F.col("piece").cast("string").alias("piece")).agg(F.max("n").alias("n"), F.collect_list(F.struct("item", "k")).alias("of")), "lookup")
     met = hot_split_join(hits.withColumn("piece", F.col("piece").cast("string")), lookup, "piece", "n", keep_key=False)
     cand = materialize(met.select("id", "h", F.inline("of")).distinct(), "candidates")
-    both = base.join(cand, ["id", "h"]).join(src.select("item", "k", F.col("t").alias("s")), ["item", "k"])
+    both = kept(base, "h", *bitmap_of(cand, "h")).join(cand, ["id", "h"]).join(src.select("item", "k", F.col("t").alias("s")), ["item", "k"])
     found = both.select("id", "h", "t", "item", "s").mapInPandas(_verify, "id long, item long, n_words long, n_covered long, edits long")
     best = found.groupBy("id", "item").agg(F.max(F.struct("n_covered", "n_words", F.negative("edits").alias("e"))).alias("b"))
     return best.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "b.n_words", "b.n_covered", (-F.col("b.e")).alias("edits"))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from grainmill.llm import canonical, defects, encode, forest, leaks, packing, terms, toxic
+from grainmill.llm import bitmap, canonical, defects, encode, forest, leaks, packing, terms, toxic
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -135,6 +135,7 @@ def test_pack_keeps_everything(spark):
     for i, q, a in rows:
         if i is not None:
             size[i] = max(size[i], -(-(len(q or "") + len(a or "")) // 4))
+    blocks = []
     for parts in (10_000, 40):
         got = packing.pack(df, "pair_id", packing.pair_length(), 128, items_per_partition=parts, fan_in=3).collect()
         per, fill = defaultdict(list), Counter()
@@ -145,6 +146,9 @@ def test_pack_keeps_everything(spark):
         for i, p in per.items():
             assert sum(n for _, n in p) == size[i] and [k for k, _ in sorted(p)] == list(range(len(p))) and all(n == 128 for _, n in sorted(p)[:-1])
         assert len(fill) <= 1.05 * sum(size.values()) / 128 + 2
+        blocks.append(len(fill))
+    # forty items leave little choice of what goes together; one partition of all is the better by a few in a hundred
+    assert blocks[1] <= 1.03 * blocks[0]
     again = packing.pack(df.repartition(3), "pair_id", packing.pair_length(), 128, items_per_partition=40, fan_in=3)
     assert {tuple(x) for x in again.collect()} == {tuple(x) for x in got}
     assert packing.pack(df.where("false"), "pair_id", packing.pair_length(), 128).count() == 0
@@ -430,7 +434,7 @@ def test_common_pieces_and_a_full_bitmap(spark, monkeypatch):
     want = {(d, i) for d, t in docs for i, s in e if leaks.verify(leaks.printed_words(s), leaks._Text(t))}
     got = {(x.doc_id, x.item_id) for x in leaks.leaks(df, items).collect()}
     assert got == want and len(want) > 2000
-    monkeypatch.setattr(leaks, "MOST_BITS", 4)
+    monkeypatch.setattr(bitmap, "MOST_BITS", 4)
     assert {(x.doc_id, x.item_id) for x in leaks.leaks(df, items).collect()} == want
 
 
