@@ -45,7 +45,7 @@ def rough_tokens(c: Column | str) -> Column:
 
 
 def ngrams(words: Column, n: int) -> Column:
-    """All runs of n words, joined by blanks; none if there are fewer than n."""
+    """All runs of n words, joined by blanks; none if there are fewer than n. ``words`` should be a column, as it is read for each run."""
     return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(
         F.array().cast("array<string>")
     )
@@ -94,6 +94,82 @@ def capped_list(items: Column, most: int = 6) -> Column:
     return F.when(n > most, F.concat(F.array_join(F.slice(items, 1, most), ", "), F.lit(", among others"))).otherwise(list_join(items))
 
 
+def shortened(c: Column | str, longest: int = 60) -> Column:
+    """The first characters for display, with three stops where something was cut off."""
+    x = _c(c)
+    return F.when(F.length(x) > longest, F.concat(F.substring(x, 1, longest), F.lit("..."))).otherwise(x)
+
+
+def with_article(c: Column | str) -> Column:
+    """an before a vowel letter, a before others."""
+    x = _c(c)
+    return F.concat(F.when(x.rlike("^[aeiouAEIOU]"), "an ").otherwise("a "), x)
+
+
+def plural(c: Column | str) -> Column:
+    """es after an s, s after other letters."""
+    x = _c(c)
+    return F.concat(x, F.when(x.rlike("[sS]$"), "es").otherwise("s"))
+
+
+#: Ordinal words; higher ranks are written in digits.
+ORDINALS = "first second third fourth fifth sixth seventh eighth ninth tenth".split()
+
+
+def ordinal(n: Column | str) -> Column:
+    """The word for a rank from 1 on, 11th and so on above ten; null below 1."""
+    x = _c(n)
+    digits = F.concat(x.cast("string"), F.when((x % 100).between(11, 13), "th").when(x % 10 == 1, "st").when(x % 10 == 2, "nd").when(x % 10 == 3, "rd").otherwise("th"))
+    return F.when(x.between(1, len(ORDINALS)), F.element_at(F.array(*[F.lit(w) for w in ORDINALS]), x.cast("int"))).when(x > len(ORDINALS), digits)
+
+
+def first_rule(c: Column | str, rules: list[tuple[str, frozenset[str] | set[str]]], otherwise: str | None = None) -> Column:
+    """The first group of the first rule (pattern, words that don't count) that finds one; a rule takes its first match that counts."""
+    x, out = _c(c), F.lit(otherwise)
+    for pattern, skip in reversed(rules):
+        found = F.regexp_extract_all(x, F.lit(pattern), F.lit(1))
+        out = F.coalesce(F.get(F.array_except(found, F.array(*[F.lit(w) for w in sorted(skip)])) if skip else found, F.lit(0)), out)
+    return out
+
+
+#: Words that name no topic.
+NO_TOPIC = frozenset("device command current other same first last next most some that this which each every".split())
+#: What an answer is about, in this order: the subject of its first sentence, the command it names, a name in capitals, a noun after "the".
+TOPIC_RULES = [
+    (r"^(?:The )?([A-Z][\w-]{1,20}(?:\s+(?:sensor|chip|module|controller|camera|radio))?)\s+(?:is|are|uses|has|provides|detects|measures)\s", frozenset()),
+    (r"^Type (\w+)", frozenset()),
+    (r"\b([A-Z][A-Z0-9]{2,}(?:-\w+)?)\b", frozenset()),
+    (r"\b[tT]he (\w{4,})", NO_TOPIC),
+]
+#: What an answer tells to do: the aim of its command, the command that there isn't, then what is changed.
+ACTION_RULES = [
+    (r"^(?:Type|Use) \w[\w\s]* to ([^.,]+)", frozenset()),
+    (r"\bno (\w[\w\s]{2,20}?) command", frozenset()),
+    (r"\b((?:clear|delete|remove|reset|update|change|set|configure|enable|disable) (?:the )?\w+)", frozenset()),
+]
+
+
+def topic_of(c: Column | str) -> Column:
+    """The topic of an answer by TOPIC_RULES; null if none applies."""
+    return first_rule(c, TOPIC_RULES)
+
+
+def action_of(c: Column | str) -> Column:
+    """The action of an answer by ACTION_RULES, else its topic, in lower case; null if there is neither."""
+    return F.lower(F.coalesce(first_rule(c, ACTION_RULES), topic_of(c)))
+
+
+def typed_commands(c: Column | str) -> Column:
+    """What follows the word type, without closing marks; articles and if don't count."""
+    found = F.transform(F.regexp_extract_all(_c(c), F.lit(r"(?i)\btype\s+(\S+)"), F.lit(1)), lambda w: F.regexp_replace(w, "[.,;:]+$", ""))
+    return F.filter(found, lambda w: (w != "") & ~F.lower(w).isin("the", "if", "a", "an"))
+
+
+def printable_runs(c: Column | str, least: int = 3) -> Column:
+    """The runs of at least so many printable ASCII characters in bytes."""
+    return F.regexp_extract_all(F.decode(_c(c), "ISO-8859-1"), F.lit(r"([\x20-\x7E]{%d,})" % least), F.lit(1))
+
+
 def slug(c: Column | str, longest: int = 50) -> Column:
     """Lower case, runs of other characters than a-z and 0-9 as one hyphen, none at the ends."""
     s = F.regexp_replace(F.regexp_replace(F.lower(_c(c)), "[^a-z0-9]+", "-"), "^-+|-+$", "")

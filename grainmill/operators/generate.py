@@ -6,7 +6,7 @@ import re
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainmill.functions.text import casual, fill
@@ -34,6 +34,63 @@ def matchups(chart: DataFrame, kinds: DataFrame) -> DataFrame:
     return a.join(F.broadcast(d), F.lit(True)).join(chart, ["atk", "def"], "left").select("atk", "def", F.coalesce("mult", F.lit(1.0)).alias("mult"))
 
 
+def multiplier(kind: Column, immune: Column, weak: Column, resist: Column) -> Column:
+    """0 for a kind the defender is immune to, else 2 for one it is weak to, else 0.5 for one it resists, else 1."""
+    return F.when(F.array_contains(immune, kind), 0.0).when(F.array_contains(weak, kind), 2.0).when(F.array_contains(resist, kind), 0.5).otherwise(1.0)
+
+
+def chain_sentences(names: DataFrame, edges: DataFrame) -> DataFrame:
+    """(name, answer): what each name evolves into and how, for edges (src, dst, method, detail); children in order of name."""
+    how = F.when(F.col("method") == "level", F.concat("dst", F.lit(" at level "), "detail")).when(F.col("method") == "stone", F.concat("dst", F.lit(" with a "), "detail")).otherwise(F.concat("dst", F.lit(" when traded")))
+    parts = edges.groupBy(F.col("src").alias("name")).agg(F.array_sort(F.collect_list(F.struct("dst", how.alias("how")))).alias("_p"))
+    j = names.join(parts, "name", "left")
+    said = F.concat("name", F.lit(" evolves into "), F.array_join(F.transform("_p", lambda x: x["how"]), ", "), F.lit("."))
+    return j.select("name", F.when(F.col("_p").isNull(), F.concat("name", F.lit(" does not evolve."))).otherwise(said).alias("answer"))
+
+
+def relationship_questions(edges: DataFrame) -> DataFrame:
+    """(q, a): three questions for every edge (src, dst, method, detail): forwards, backwards, and how."""
+    s, d, x = F.col("src"), F.col("dst"), F.col("detail")
+    c = lambda *p: F.concat(*[F.lit(y) if isinstance(y, str) else y for y in p])
+    how = F.when(F.col("method") == "level", c("Level ", s, " up to level ", x, ".")).when(F.col("method") == "stone", c("Use a ", x, " on ", s, ".")).otherwise(c("Trade ", s, "."))
+    pairs = F.array(
+        F.struct(c("What does ", s, " evolve into?").alias("q"), d.alias("a")),
+        F.struct(c("What does ", d, " evolve from?").alias("q"), s.alias("a")),
+        F.struct(c("How does ", s, " become ", d, "?").alias("q"), how.alias("a")),
+    )
+    return edges.select(F.explode(pairs).alias("p")).select("p.q", "p.a")
+
+
+def bridged(passages: DataFrame, text: str = "text", topic: str = "topic") -> DataFrame:
+    """(kind, q, a, text): each passage twice, as prose and as the answer to a question about its topic."""
+    p = passages.where(F.col(text).isNotNull() & F.col(topic).isNotNull())
+    rows = F.array(
+        F.struct(F.lit("prose").alias("kind"), F.lit(None).cast("string").alias("q"), F.lit(None).cast("string").alias("a"), F.col(text).alias("text")),
+        F.struct(F.lit("qa").alias("kind"), F.concat(F.lit("Tell me about "), F.col(topic), F.lit(".")).alias("q"), F.col(text).alias("a"), F.lit(None).cast("string").alias("text")),
+    )
+    return p.select(F.explode(rows).alias("r")).select("r.*")
+
+
+#: How a command is asked for; {v} is its verb or a synonym of it, {n} the rest of its name.
+COMMAND_FRAMES = ("{v} {n}", "{v} the {n}", "I want to {v} the {n}", "please {v} {n}", "can you {v} the {n}", "go ahead and {v} {n}", "{v} {n} now", "let's {v} the {n}")
+
+
+def command_questions(commands: DataFrame, synonyms: DataFrame, have: DataFrame, n: int) -> DataFrame:
+    """(command, q): up to n new questions for each command (command, verb, noun), synonyms x frames minus those it has.
+
+    ``synonyms`` has rows (verb, ord, synonym), a written list; a verb without any stands for itself. ``have`` has
+    rows (command, q); letter case is ignored. Frames go by synonym, then in their order.
+    """
+    s = synonyms.groupBy("verb").agg(F.array_sort(F.collect_list(F.struct("ord", "synonym"))).alias("_s"))
+    c = commands.join(F.broadcast(s), "verb", "left").withColumn("_s", F.coalesce("_s", F.array(F.struct(F.lit(0).alias("ord"), F.col("verb").alias("synonym")))))
+    e = c.select("command", "noun", F.posexplode("_s").alias("_i", "_v")).select("command", "noun", "_i", F.col("_v.synonym").alias("v"), F.posexplode(F.array(*[F.lit(x) for x in COMMAND_FRAMES])).alias("_k", "_f"))
+    q = e.select("command", "_i", "_k", fill(fill("_f", v="v"), n="noun").alias("q"))
+    one = q.groupBy("command", F.lower("q").alias("_l")).agg(F.min(F.struct("_i", "_k", "q")).alias("_b"))
+    new = one.join(have.select("command", F.lower(F.trim("q")).alias("_l")).distinct(), ["command", "_l"], "left_anti")
+    rank = F.row_number().over(Window.partitionBy("command").orderBy("_b"))  # at most synonyms x frames rows of a command
+    return new.withColumn("_r", rank).where(F.col("_r") <= n).select("command", F.col("_b.q").alias("q"))
+
+
 def defence(entities: DataFrame, full: DataFrame, name: str = "name", kinds: str = "kinds") -> DataFrame:
     """(name, atk, mult, bucket): the product of the multipliers of an entity's kinds; bucket immune, quadruple, double, resist or null."""
     e = entities.select(name, F.explode(kinds).alias("def")).join(full, "def")

@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.operators.ordered import running_sum
+
 IGNORED = -100
 
 
@@ -67,10 +69,14 @@ def pack_entries(df: DataFrame, ids: str, labels: str, seq_len: int, eos: int) -
 def chunk(df: DataFrame, group: str, order: str, ids: str, block: int) -> DataFrame:
     """(group, block_no, input_ids): the ids of a group in order, cut into blocks; the rest that fills none is dropped.
 
-    A group is a batch of bounded size (the batches of the loader), so its tokens meet in one task.
+    ``order`` is a number, unique in its group. Rows are placed by a running sum of their sizes and cut where blocks
+    end, so a group of any size is put together block by block and never as a whole.
     """
-    g = df.where(F.col(ids).isNotNull()).groupBy(group).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order, ids))), lambda s: s[ids])).alias("_all"))
-    n = F.floor(F.size("_all") / block).cast("int")
-    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    e = g.select(group, "_all", F.explode(places).alias("block_no"))
-    return e.select(group, "block_no", F.slice("_all", F.col("block_no") * block + 1, block).alias("input_ids"))
+    x = df.where(F.col(ids).isNotNull() & (F.size(ids) > 0)).select(group, order, F.col(ids).alias("_ids"))
+    end = running_sum(x, group, order, F.size("_ids"), "_end")
+    begin = F.col("_end") - F.size("_ids")
+    cut = end.select(group, begin.alias("_at"), "_end", "_ids", F.explode(F.sequence(F.floor(begin / block), F.floor((F.col("_end") - 1) / block))).alias("_no"))
+    lo, hi = F.greatest("_at", F.col("_no") * block), F.least("_end", (F.col("_no") + 1) * block)
+    part = cut.select(group, F.col("_no").cast("int").alias("block_no"), lo.alias("_lo"), F.slice("_ids", (lo - F.col("_at") + 1).cast("int"), (hi - lo).cast("int")).alias("_part"))
+    g = part.groupBy(group, "block_no").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_lo", "_part"))), lambda s: s["_part"])).alias("input_ids"))
+    return g.where(F.size("input_ids") == block)

@@ -48,8 +48,9 @@ def top(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 
 def ngram_frequency(df: DataFrame, text: str, size: int) -> DataFrame:
-    """(ngram, n) of lower-cased words between white space, every occurrence counted."""
-    return df.select(F.explode(ngrams(tokens(F.lower(F.col(text))), size)).alias("ngram")).groupBy("ngram").agg(F.count("*").alias("n"))
+    """(ngram, n) of lower-cased words between white space, every occurrence counted. Linear in the length of a text."""
+    words = df.select(tokens(F.lower(F.col(text))).alias("_w"))  # a column of its own: a lambda would split the text again for every n-gram
+    return words.select(F.explode(ngrams(F.col("_w"), size)).alias("ngram")).groupBy("ngram").agg(F.count("*").alias("n"))
 
 
 def length_stats(df: DataFrame, by: str, text: str) -> DataFrame:

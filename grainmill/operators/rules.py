@@ -57,3 +57,14 @@ def topics(texts: DataFrame, key: list[str], text: Column, rules: DataFrame) ->
         hits = F.array(*[F.when(F.rlike("_t", F.lit(r["_re"])), F.lit(r["topic"])) for r in few]) if few else F.array().cast("array<string>")
         return t.select(*key, F.explode(F.array_distinct(F.array_compact(hits))).alias("topic"))
     return match(t, one, F.expr("rlike(_t, _re)")).select(*key, "topic").distinct()
+
+
+def set_differences(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, only_left, only_right, both, differs): the sets of values that two sources have for each key; null keys are left out.
+
+    Values are counted by (key, value) first, so a key with very many of them is spread, and no set is built.
+    """
+    side = lambda d, n: d.where(F.col(key).isNotNull()).select(key, value, F.lit(n).alias("_s"))
+    one = side(left, 1).unionByName(side(right, 2)).groupBy(key, value).agg(F.bit_or("_s").alias("_s"))
+    n = lambda x: F.count_if(F.col("_s") == x)
+    return one.groupBy(key).agg(n(1).alias("only_left"), n(2).alias("only_right"), n(3).alias("both"), (n(3) < F.count("*")).alias("differs"))

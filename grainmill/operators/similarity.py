@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainmill.functions.text import body_of, lead_of, squeeze, tokens, verb_key, verb_led
@@ -10,26 +10,26 @@ from grainmill.operators.graph import connected_components, resolve_map
 from grainmill.session import hot_split_join, materialize
 
 
-def near_pairs(texts: DataFrame, text: str = "a", parts: int = 4, whole: int = 3, least_words: int = 4) -> DataFrame:
+def near_pairs(texts: DataFrame, text: str = "a", parts: int = 4, whole: int = 3) -> DataFrame:
     """(a, b, shared, smaller): pairs of different texts whose word sets overlap by at least whole/parts of the smaller.
 
-    Word sets are lower-cased and split at white space; texts of fewer than ``least_words`` different words take no
-    part, since a short text lies inside very many long ones. Every qualifying pair is found: two sets of sizes
-    m <= n that share k >= whole/parts * m words must share one of the m - k + 1 rarest words of the smaller one, so
-    the smaller side is indexed by those only, the larger by all. a < b.
+    Word sets are lower-cased and split at white space; blank texts take no part. Every qualifying pair of texts of any
+    length is found: two sets of sizes m <= n that share k >= whole/parts * m words must share one of the m - k + 1
+    rarest words of the smaller one, so the smaller side is indexed by those only, the larger by all. Words that very
+    many texts have are salted. a < b.
     """
     t = texts.select(F.trim(F.lower(F.col(text))).alias("t"), F.col(text).alias("x")).where("t <> ''").groupBy("x").agg(F.first("t").alias("t"))
-    sets = t.select(F.col("x"), F.array_distinct(tokens("t")).alias("w")).where(F.size("w") >= least_words)
-    sets = materialize(sets.select("x", "w", F.size("w").alias("m"), F.xxhash64("x").alias("h")), "sets")
+    sets = t.select(F.col("x"), F.array_distinct(tokens("t")).alias("w"))
+    sets = materialize(sets.select("x", "w", F.size("w").alias("m"), F.md5("x").alias("h")), "sets")
     df = sets.select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     # the words of the language are in very many sets: hot words are joined apart
-    posted = hot_split_join(sets.select("h", "m", F.explode("w").alias("word")), materialize(df.withColumn("n", F.col("df")), "df"), "word", "n")
+    posted = materialize(hot_split_join(sets.select("h", "m", F.explode("w").alias("word")), materialize(df.withColumn("n", F.col("df")), "df"), "word", "n"), "posted")
     ranked = posted.groupBy("h", "m").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("s"))
     need = F.ceil(F.col("m") * whole / parts)
-    rare = ranked.select(F.col("h").alias("h1"), F.col("m").alias("m1"), F.explode(F.slice("s", F.lit(1), (F.col("m") - need + 1).cast("int"))).alias("s")).select("h1", "m1", F.col("s.word").alias("word"))
+    rare = ranked.select(F.col("h").alias("h1"), F.col("m").alias("m1"), F.explode(F.slice("s", F.lit(1), (F.col("m") - need + 1).cast("int"))).alias("s")).select("h1", "m1", F.col("s.word").alias("word"), F.col("s.df").alias("df"))
     # the larger set holds the word anywhere; sizes decide which side is the smaller, equal sizes by hash
     every = posted.select(F.col("h").alias("h2"), F.col("m").alias("m2"), "word")
-    cand = rare.join(every, "word").where("m1 < m2 or (m1 = m2 and h1 < h2)").select("h1", "h2").distinct()
+    cand = hot_split_join(every, materialize(rare, "rare"), "word", "df", keep_key=False).where("m1 < m2 or (m1 = m2 and h1 < h2)").select("h1", "h2").distinct()
     a, b = sets.select(F.col("h").alias("h1"), F.col("x").alias("x1"), F.col("w").alias("w1")), sets.select(F.col("h").alias("h2"), F.col("x").alias("x2"), F.col("w").alias("w2"))
     j = cand.join(a, "h1").join(b, "h2").withColumn("shared", F.size(F.array_intersect("w1", "w2"))).withColumn("smaller", F.least(F.size("w1"), F.size("w2")))
     got = j.where(F.col("shared") * parts >= F.col("smaller") * whole)
@@ -67,9 +67,10 @@ def core_of(counts: DataFrame, text: str = "a", least_words: int = 3) -> DataFra
     body meet the bodies by an equi-join, so no pair of bodies is compared.
     """
     b = counts.select(body_of(text).alias("x")).where("x <> ''").distinct()
-    cuts = F.filter(F.sequence(F.lit(1), F.greatest(F.length("x") - 1, F.lit(1))), lambda i: (F.substring(F.col("x"), i, F.lit(2)) == ". "))
-    pre = b.select("x", F.explode(F.transform(cuts, lambda i: F.substring(F.col("x"), F.lit(1), i))).alias("core"))
-    pre = pre.where(F.size(tokens("core")) >= least_words)
+    # split once at every full stop and blank; a core is the first pieces put together again
+    pieces = b.select("x", F.split("x", r"(?<=\.) ").alias("p"))
+    ends = pieces.where(F.size("p") > 1).select("x", "p", F.explode(F.sequence(F.lit(1), F.size("p") - 1)).alias("i"))
+    pre = ends.select("x", F.array_join(F.slice("p", F.lit(1), F.col("i")), " ").alias("core")).where(F.size(tokens("core")) >= least_words)
     hit = pre.join(b.select(F.col("x").alias("core")), "core", "left_semi")
     first = hit.groupBy("x").agg(F.min_by("core", F.length("core")).alias("core"))
     return resolve_map(first, "x", "core").select(F.col("x").alias(text), "core")
@@ -83,7 +84,38 @@ def polarity_conflicts(texts: DataFrame, text: str = "a") -> DataFrame:
 
 
 def apply_map(df: DataFrame, mapping: DataFrame, column: str, to: str) -> DataFrame:
-    """df with the column rewritten where the map has it; ``changed`` says where."""
-    m = mapping.select(F.col(column).alias("_k"), F.col(to).alias("_to"))
-    j = df.join(m, F.col(column) == F.col("_k"), "left")
-    return j.withColumn("changed", F.col("_to").isNotNull()).withColumn(column, F.coalesce("_to", column)).drop("_k", "_to")
+    """df with the column rewritten where the map has it; ``changed`` says where. Frequent values are salted."""
+    n = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    m = materialize(mapping.select(column, F.col(to).alias("_to")).join(n, column), "map")
+    return hot_split_join(df, m, column, "_n", "left").withColumn("changed", F.col("_to").isNotNull()).withColumn(column, F.coalesce("_to", column)).drop("_to")
+
+
+def ranked_pairs(pairs: DataFrame) -> DataFrame:
+    """(place, a, b, similarity): pairs of ``near_pairs`` by falling similarity, then falling texts.
+
+    One range sort; the places come from the sizes of its ranges, not from a window over all rows.
+    """
+    p = pairs.select("a", "b", (F.col("shared") / F.col("smaller")).alias("similarity"))
+    ranged = materialize(p.repartitionByRange(F.desc("similarity"), F.desc("a"), F.desc("b")).withColumn("_r", F.spark_partition_id()), "ranked")
+    sizes = ranged.groupBy("_r").agg(F.count("*").alias("_n"))
+    before = sizes.select("_r", (F.sum("_n").over(Window.orderBy("_r")) - F.col("_n")).alias("_b"))  # one row for each range
+    inside = ranged.withColumn("_p", F.row_number().over(Window.partitionBy("_r").orderBy(F.desc("similarity"), F.desc("a"), F.desc("b"))))
+    return inside.join(F.broadcast(before), "_r").select((F.col("_b") + F.col("_p")).alias("place"), "a", "b", "similarity")
+
+
+def clusters(groups: DataFrame, counts: DataFrame, text: str = "a", n: str = "n") -> DataFrame:
+    """(place, weight, members): groups of ``divergent_groups`` by falling weight, the sum of their members' copies.
+
+    Ties go by the group's least text. The members of a group go by falling copies, then length, then the text.
+    """
+    member = F.struct(F.negative(n).alias("n"), F.length(text).alias("l"), F.col(text).alias("text"))
+    g = groups.join(counts.select(text, n), text).groupBy("group").agg(F.sum(n).alias("weight"), F.array_sort(F.collect_list(member)).alias("_m"))
+    place = F.row_number().over(Window.orderBy(F.desc("weight"), "group"))  # groups of a review list, which is read by people
+    return g.select(place.cast("long").alias("place"), "weight", F.transform("_m", lambda m: m["text"]).alias("members"))
+
+
+def review(found: DataFrame, conflicts: DataFrame) -> DataFrame:
+    """(section, place, line): the review list of clusters and of bodies stated both with Yes and with No."""
+    c = found.select(F.lit("cluster").alias("section"), "place", F.array_join("members", "\n").alias("line"))
+    place = F.row_number().over(Window.orderBy("body")).cast("long")
+    return c.unionByName(conflicts.select(F.lit("yes/no").alias("section"), place.alias("place"), F.col("body").alias("line")))

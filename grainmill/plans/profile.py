@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from grainmill.functions.text import capitalize, gate_tokens, list_join, occurrences, opener, rough_tokens, squeeze, strip, tokens, unicode_words
+from grainmill.functions.text import (
+    action_of, capitalize, capped_list, gate_tokens, list_join, occurrences, opener, ordinal, plural, rough_tokens, shortened, squeeze, strip, tokens, topic_of, typed_commands, unicode_words, with_article,
+)
 from grainmill.operators import profile as op
 from grainmill.plans.base import answers, blocks, documents, pairs, query, table
 
@@ -129,14 +132,13 @@ _NORM = "lower(" + S("{0}") + ")"
 
 @query(
     "duplicate_pairs",
-    f"""SELECT type, {_NORM.format('q')} AS q, {_NORM.format('coalesce(a, "do")')} AS response, count(*) AS n, min(line_no) AS first_line, max(line_no) AS last_line, count(*) - 1 AS surplus
-    FROM B WHERE type IN ('qa', 'do') AND q IS NOT NULL AND coalesce(a, "do") IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) > 1""",
-    "B",
+    f"""SELECT prefix, {_NORM.format('q')} AS q, {_NORM.format('a')} AS response, count(*) AS n, list_sort(list(DISTINCT line_no)) AS lines, count(*) - 1 AS surplus
+    FROM P WHERE q IS NOT NULL AND {S('a')} <> '' GROUP BY 1, 2, 3 HAVING count(*) > 1""",
+    "P",
 )
 def _(spark, sf):
-    b = blocks(spark, sf).withColumn("response", F.lower(strip(F.coalesce("a", "do")))).withColumn("q", F.lower(strip("q")))
-    b = b.where("type in ('qa', 'do') and q is not null and response is not null")
-    g = b.groupBy("type", "q", "response").agg(F.count("*").alias("n"), F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line"))
+    p = pairs(spark, sf).where("q is not null").select("prefix", F.lower(strip("q")).alias("q"), F.lower(strip("a")).alias("response"), "line_no").where("response <> ''")
+    g = p.groupBy("prefix", "q", "response").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("line_no")).alias("lines"))
     return g.where("n > 1").withColumn("surplus", F.col("n") - 1)
 
 
@@ -230,13 +232,20 @@ def _(spark, sf):
     return g.groupBy("prefix", "a").agg(F.count("q").alias("n_questions"), F.min("first").alias("first"))
 
 
+@query("answer_questions", "SELECT prefix, a, q, count(*) AS n FROM P WHERE a IS NOT NULL AND q IS NOT NULL GROUP BY prefix, a, q", "P")
+def _(spark, sf):
+    """The questions of each answer, one row each: an answer with a third of all questions is no single row."""
+    return pairs(spark, sf).where("a is not null and q is not null").groupBy("prefix", "a", "q").agg(F.count("*").alias("n"))
+
+
 @query("group_size_check", "SELECT n_rows, count(*) AS n_groups FROM (SELECT prefix, a, count(*) AS n_rows FROM P WHERE a IS NOT NULL GROUP BY prefix, a HAVING count(*) <> 5) GROUP BY n_rows", "P")
 def _(spark, sf):
     g = pairs(spark, sf).where("a is not null").groupBy("prefix", "a").agg(F.count("*").alias("n_rows")).where("n_rows <> 5")
     return g.groupBy("n_rows").agg(F.count("*").alias("n_groups"))
 
 
-_STOP = "what how do does did i the a an is to my me can you tell about are in on for with of it its this that which where when why not".split()
+# An own list: words that say nothing about what is asked.
+_STOP = sorted("about and are can could did does for from has have how its may me my not our should tell that the there these they this those was were what when where which who why will with would you your".split())
 
 
 @query(
@@ -341,3 +350,52 @@ def _(spark, sf):
 def _(spark, sf):
     g = answers(spark, sf).where("a is not null").groupBy("a").agg(F.count("*").alias("n"))
     return g.groupBy(squeeze("a").alias("a")).agg(F.sum("n").alias("n"), F.count("*").alias("forms")).where("forms > 1")
+
+
+_TOPIC = r"""coalesce(nullif(regexp_extract(a, '^(?:The )?([A-Z][0-9A-Za-z_-]{1,20}(?:\s+(?:sensor|chip|module|controller|camera|radio))?)\s+(?:is|are|uses|has|provides|detects|measures)\s', 1), ''),
+    nullif(regexp_extract(a, '^Type ([0-9A-Za-z_]+)', 1), ''), nullif(regexp_extract(a, '\b([A-Z][A-Z0-9]{2,}(?:-[0-9A-Za-z_]+)?)\b', 1), ''),
+    list_filter(regexp_extract_all(a, '\b[tT]he ([0-9A-Za-z_]{4,})', 1), lambda w: NOT list_contains(['device', 'command', 'current', 'other', 'same', 'first', 'last', 'next', 'most', 'some', 'that', 'this', 'which', 'each', 'every'], w))[1])"""
+_ACTION = rf"""lower(coalesce(nullif(regexp_extract(a, '^(?:Type|Use) [0-9A-Za-z_][0-9A-Za-z_\s]* to ([^.,]+)', 1), ''), nullif(regexp_extract(a, '\bno ([0-9A-Za-z_][0-9A-Za-z_\s]{{2,20}}?) command', 1), ''),
+    nullif(regexp_extract(a, '\b((?:clear|delete|remove|reset|update|change|set|configure|enable|disable) (?:the )?[0-9A-Za-z_]+)', 1), ''), {_TOPIC}))"""
+
+
+@query("answer_topics", f"SELECT answer_id, {_TOPIC} AS topic, {_ACTION} AS action FROM A WHERE a IS NOT NULL AND NOT regexp_matches(a, '[^ -~]')", "A")
+def _(spark, sf):
+    """ASCII answers, in which both engines agree on where a word ends."""
+    a = answers(spark, sf).where("a is not null and not rlike(a, '[^ -~]')")
+    return a.select("answer_id", topic_of("a").alias("topic"), action_of("a").alias("action"))
+
+
+@query("typed_commands", """, w AS (SELECT regexp_replace(unnest(regexp_extract_all(a, '(?i)\\btype\\s+([^ \t\n\f\r]+)', 1)), '[.,;:]+$', '') AS command FROM B WHERE type = 'qa')
+ SELECT command, count(*) AS n FROM w WHERE command <> '' AND lower(command) NOT IN ('the', 'if', 'a', 'an') GROUP BY command""", "B")
+def _(spark, sf):
+    c = blocks(spark, sf).where("type = 'qa'").select(F.explode(typed_commands("a")).alias("command"))
+    return c.groupBy("command").agg(F.count("*").alias("n"))
+
+
+@query(
+    "display_lines",
+    """WITH r AS (SELECT n_name, r_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) AS k FROM nation JOIN region ON n_regionkey = r_regionkey),
+    o AS (SELECT * FROM (VALUES (1, 'first'), (2, 'second'), (3, 'third'), (4, 'fourth'), (5, 'fifth'), (6, 'sixth'), (7, 'seventh'), (8, 'eighth'), (9, 'ninth'), (10, 'tenth')) t(k, word))
+    SELECT n_name, word AS rank, CASE WHEN regexp_matches(n_name, '^[AEIOUaeiou]') THEN 'an ' ELSE 'a ' END || n_name AS one, n_name || CASE WHEN regexp_matches(n_name, '[sS]$') THEN 'es' ELSE 's' END AS many FROM r JOIN o USING (k)""",
+)
+def _(spark, sf):
+    """Nations in words: their rank in the region, with an article, and in the plural."""
+    n = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    k = F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_name"))
+    return n.withColumn("k", k).select("n_name", ordinal("k").alias("rank"), with_article("n_name").alias("one"), plural("n_name").alias("many"))
+
+
+@query("shortened_answers", "SELECT answer_id, CASE WHEN length(a) > 60 THEN substr(a, 1, 60) || '...' ELSE a END AS shown FROM A WHERE a IS NOT NULL", "A")
+def _(spark, sf):
+    return answers(spark, sf).where("a is not null").select("answer_id", shortened("a").alias("shown"))
+
+
+@query(
+    "region_suppliers",
+    """WITH l AS (SELECT n_name, list_sort(list(s_name)) AS s FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name)
+    SELECT n_name, CASE WHEN len(s) > 6 THEN array_to_string(s[1:6], ', ') || ', among others' WHEN len(s) = 1 THEN s[1] WHEN len(s) = 2 THEN s[1] || ' and ' || s[2] ELSE array_to_string(s[1:len(s) - 1], ', ') || ', and ' || s[len(s)] END AS suppliers FROM l""",
+)
+def _(spark, sf):
+    j = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    return j.groupBy("n_name").agg(capped_list(F.array_sort(F.collect_list("s_name"))).alias("suppliers"))

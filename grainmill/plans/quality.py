@@ -9,6 +9,7 @@ from grainmill.operators import ordered as od
 from grainmill.operators import quality as ql
 from grainmill.plans.base import answers, blocks, documents, pairs, query, table
 from grainmill.plans.profile import S, W
+from grainmill.session import materialize
 from grainmill.sources import text as src
 
 
@@ -53,30 +54,32 @@ def _(spark, sf):
 
 @query(
     "broken_lines",
-    f""", x AS (SELECT doc_id, line_no, line, lag(line) OVER (PARTITION BY doc_id ORDER BY line_no) AS prev FROM L)
-    SELECT doc_id, line_no, line FROM x WHERE {S("coalesce(prev, '')")} = '' AND regexp_matches(line, '^[a-z]') AND length(line) < 30 AND NOT regexp_matches(line, '[.!?]')""",
-    "L",
+    f"""WITH x AS (SELECT path, line_no, line, lag(line) OVER (PARTITION BY path ORDER BY line_no) AS prev FROM session_log)
+    SELECT path, line_no, line FROM x WHERE {S("coalesce(prev, '')")} = '' AND regexp_matches(line, '^[a-z]') AND length(line) < 30 AND NOT regexp_matches(line, '[.!?]')""",
 )
 def _(spark, sf):
-    # the line before is taken from the same text: no window, no shuffle
-    ls = src.line_array("text")
-    near = F.transform(ls, lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("line"), F.when(i > 0, F.get(ls, i - 1)).alias("prev")))
-    x = documents(spark, sf).select("doc_id", F.explode(near).alias("s")).select("doc_id", "s.*")
-    return x.where(ql.broken_line("line", "prev")).select("doc_id", "line_no", "line")
+    x = od.neighbours(table(spark, sf, "session_log").select("path", "line_no", "line"), "path", "line_no", ["line"])
+    return x.where(ql.broken_line("line", "prev_line")).select("path", "line_no", "line")
+
+
+_AS_TEXT = """concat_ws(chr(10), 'Q: ' || q, 'A: ' || a, 'Do: ' || "do", text, next_line)"""
 
 
 @query(
     "double_questions",
-    """, x AS (SELECT doc_id, line_no, line, lead(line) OVER (PARTITION BY doc_id ORDER BY line_no) AS nxt FROM L)
-    SELECT doc_id, line_no, CASE WHEN line LIKE 'Q: %' THEN 'two questions' ELSE 'two answers' END AS issue FROM x WHERE (line LIKE 'Q: %' AND nxt LIKE 'Q: %') OR (line LIKE 'A: %' AND nxt LIKE 'A: %')""",
-    "L",
+    f""", t AS (SELECT block_id, {_AS_TEXT} AS text FROM B),
+    l AS (SELECT block_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS line_no FROM (SELECT block_id, CASE WHEN t = '' THEN [] ELSE string_split(t, chr(10)) END AS ls FROM (
+      SELECT block_id, regexp_replace(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '\\n\\z', '') AS t FROM t))),
+    x AS (SELECT block_id, line_no, line, lead(line) OVER (PARTITION BY block_id ORDER BY line_no) AS nxt FROM l)
+    SELECT block_id, line_no, CASE WHEN line LIKE 'Q: %' THEN 'two questions' ELSE 'two answers' END AS issue FROM x WHERE (line LIKE 'Q: %' AND nxt LIKE 'Q: %') OR (line LIKE 'A: %' AND nxt LIKE 'A: %')""",
+    "B",
 )
 def _(spark, sf):
-    ls = src.line_array("text")
-    near = F.transform(ls, lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("line"), F.get(ls, i + 1).alias("nxt")))
-    x = documents(spark, sf).select("doc_id", F.explode(near).alias("s")).select("doc_id", "s.*")
-    two = lambda p: F.col("line").startswith(p) & F.col("nxt").startswith(p)
-    return x.where(two("Q: ") | two("A: ")).select("doc_id", "line_no", F.when(F.col("line").startswith("Q: "), "two questions").otherwise("two answers").alias("issue"))
+    """Blocks as text again, with the line that came next."""
+    b = blocks(spark, sf).select("block_id", F.concat_ws("\n", F.concat(F.lit("Q: "), "q"), F.concat(F.lit("A: "), "a"), F.concat(F.lit("Do: "), "do"), "text", "next_line").alias("body"))
+    x = od.line_neighbours(b, "block_id", src.line_array("body"))
+    two = lambda p: F.col("line").startswith(p) & F.col("next").startswith(p)
+    return x.where(two("Q: ") | two("A: ")).select("block_id", "line_no", F.when(F.col("line").startswith("Q: "), "two questions").otherwise("two answers").alias("issue"))
 
 
 @query("document_lines", "SELECT doc_id, line_no, line FROM L", "L")
@@ -137,7 +140,14 @@ def _(spark, sf):
     return src.blocks(documents(spark, sf), "doc_id")
 
 
-@query("two_line_blocks")
+@query(
+    "two_line_blocks",
+    f"""WITH p AS (SELECT doc_id, list_filter(list_transform(string_split_regex(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '\\n\\n+'), lambda x: {S('x')}), lambda x: x <> '') AS ps FROM documents WHERE text IS NOT NULL)
+    , u AS (SELECT doc_id, unnest(ps) AS x, generate_subscripts(ps, 1) AS par_no FROM p), l AS (SELECT *, string_split(x, chr(10))[1] AS l1, coalesce(string_split(x, chr(10))[2], '') AS l2 FROM u),
+    k AS (SELECT *, CASE WHEN l1 LIKE 'Q: %' AND l2 LIKE 'A: %' THEN 'A' WHEN l1 LIKE 'Q: %' AND l2 LIKE 'Do: %' THEN 'Do' END AS prefix FROM l)
+    SELECT doc_id, par_no::INT AS par_no, CASE WHEN prefix IS NULL THEN 'prose' ELSE 'qa' END AS type, CASE WHEN prefix IS NOT NULL THEN {S('substr(l1, 4)')} END AS q,
+      CASE prefix WHEN 'A' THEN {S('substr(l2, 4)')} WHEN 'Do' THEN {S('substr(l2, 5)')} END AS a, prefix, CASE WHEN prefix IS NULL THEN x END AS text FROM k""",
+)
 def _(spark, sf):
     return src.two_line_blocks(documents(spark, sf), "doc_id")
 
@@ -206,29 +216,47 @@ def _(spark, sf):
     return blocks(spark, sf).where(ql.off_topic()).select("block_id")
 
 
-_KNOWN_PARTS = ["AB123", "XY4567", "QR999Z"]
+_PART = "regexp_extract_all(upper(text), '(?:^|[^A-Z0-9_])([A-Z]{2,5}[0-9]{3,5}[A-Z]?)(?:$|[^A-Z0-9_])', 1)"
 
 
 @query(
     "part_numbers",
-    "SELECT DISTINCT doc_id, part FROM (SELECT doc_id, unnest(regexp_extract_all(upper(text), '(?:^|[^A-Z0-9_])([A-Z]{2,3}[0-9]{4,5})', 1)) AS part FROM documents) WHERE part NOT IN ('AB123', 'XY4567', 'QR999Z') AND NOT starts_with(part, 'MR')",
+    f"""WITH f AS (SELECT DISTINCT doc_id, part FROM (SELECT doc_id, unnest({_PART}) AS part FROM (SELECT doc_id, regexp_replace(text, '[^A-Za-z0-9_]', '  ', 'g') AS text FROM documents))),
+    k AS (SELECT part FROM f GROUP BY part HAVING count(*) > 2) SELECT doc_id, part FROM f WHERE part NOT IN (SELECT part FROM k) AND NOT starts_with(part, 'MR')""",
 )
 def _(spark, sf):
-    known = spark.createDataFrame([(x,) for x in _KNOWN_PARTS], "part string")
-    found = F.regexp_extract_all(F.upper("text"), F.lit("(?:^|[^A-Z0-9_])([A-Z]{2,3}[0-9]{4,5})"), F.lit(1))
-    p = documents(spark, sf).select("doc_id", F.explode(found).alias("part")).distinct()
-    return p.join(known, "part", "left_anti").where(~F.col("part").startswith("MR")).select("doc_id", "part")
-
-
-@query("issue_rollup")
+    """Numbers that many documents name are taken for known, those that begin with MR are excluded."""
+    d = documents(spark, sf).select("doc_id", F.upper("text").alias("text"))
+    none = spark.createDataFrame([], "part string")
+    every = materialize(ql.part_numbers(d, ["doc_id"], "text", none, none), "parts")
+    known = every.groupBy("part").agg(F.count("*").alias("n")).where("n > 2").select("part")
+    return ql.part_numbers(d, ["doc_id"], "text", known, every.where("startswith(part, 'MR')").select("part").distinct())
+
+
+_Q = S("regexp_replace(lower(q), '[?]+$', '')")
+_REASON = f"""CASE WHEN len({W(_Q)}) < 2 THEN 'too_short' WHEN list_last({W(_Q)}) IN ({", ".join(f"'{x}'" for x in ql.WEAK_ENDINGS)}) THEN 'weak_ending' WHEN len({W(_Q)}) < 5 AND len(list_distinct({W(_Q)})) < len({W(_Q)}) THEN 'repeated_words'
+      WHEN regexp_matches({_Q}, '^(?:explain|describe|can you describe|tell me about) (?:many|only|there|here|where|much|very|just|also|even)(?:$|[^a-z0-9_])') THEN 'vague_subject'
+      WHEN regexp_matches({_Q}, '^can i (?:there|this|that|here|only|many)$') THEN 'bare_can_i' END"""
+_ISSUES = f""", i AS (SELECT block_id, unnest([
+      CASE WHEN type = 'qa' AND length(a) < 10 THEN 'short_answer' WHEN type = 'qa' AND length(a) > 300 THEN 'long_answer' END,
+      CASE WHEN length(CASE WHEN q IS NOT NULL AND a IS NOT NULL THEN 'Q: ' || q || chr(10) || 'A: ' || a ELSE text END) // 4 > 110 THEN 'over_budget' END,
+      CASE WHEN type = 'do' AND (len({W('"do"')}) > 3 OR "do" LIKE 'Type %' OR "do" LIKE 'Use %' OR (contains("do", '.') AND length("do") > 20)) THEN 'odd_command' END,
+      CASE WHEN type = 'prose' AND len({W('text')}) < 10 THEN 'short_prose' END, CASE WHEN type = 'prose' AND len({W('text')}) > 55 THEN 'long_prose' END,
+      CASE WHEN type LIKE 'orphan%' THEN type END,
+      CASE WHEN type IN ('qa', 'do') AND coalesce({S('coalesce(a, "do")')}, '') = '' THEN 'blank_response' END,
+      'question_' || {_REASON}]) AS issue FROM B), n AS (SELECT issue, count(*) AS n FROM i WHERE issue IS NOT NULL GROUP BY issue)"""
+_GATES = ("orphan_q", "orphan_a", "orphan_do", "blank_response", "over_budget", "short_prose", "odd_command")
+
+
+@query("issue_rollup", f"{_ISSUES} SELECT issue, n FROM n", "B")
 def _(spark, sf):
     return ql.issues(blocks(spark, sf)).groupBy("issue").agg(F.count("*").alias("n"))
 
 
-@query("issue_gates")
+@query("issue_gates", f'{_ISSUES} SELECT g."check", coalesce(n, 0) AS n_issues, n IS NULL AS passed FROM (VALUES {", ".join(f"({chr(39)}{x}{chr(39)})" for x in _GATES)}) g("check") LEFT JOIN n ON n.issue = g."check"', "B")
 def _(spark, sf):
     n = ql.issues(blocks(spark, sf)).groupBy("issue").agg(F.count("*").alias("n"))
-    return ql.gates(n, ["orphan_q", "orphan_a", "orphan_do", "blank_response", "over_budget", "short_prose", "odd_command"])
+    return ql.gates(n, list(_GATES))
 
 
 @query("adjectival_regions", "SELECT n_name, CASE WHEN r_name IN ('ASIA', 'EUROPE') THEN 'old world' WHEN r_name = 'AMERICA' THEN 'new world' ELSE 'other' END AS kind FROM nation JOIN region ON n_regionkey = r_regionkey")

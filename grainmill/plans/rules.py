@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from grainmill.functions.text import occurrences, snippet, strip
+from grainmill.functions.text import occurrences, printable_runs, snippet, strip
+from grainmill.operators import ordered as od
 from grainmill.operators import rules as ru
 from grainmill.operators import vocab as vo
 from grainmill.plans.base import answers, blocks, documents, pairs, query, table
@@ -160,14 +162,46 @@ def _(spark, sf):
     return hits.select("doc_id", "word", snippet("text", F.col("word")).alias("snippet"))
 
 
+@query(
+    "binary_hits",
+    """WITH w AS (SELECT DISTINCT word FROM (SELECT unnest(keywords) AS word FROM topic_rules) WHERE regexp_matches(word, '^[a-z]+$')), r AS (SELECT doc_id, unnest(regexp_extract_all(text, '[ -~]{3,}')) AS run FROM documents)
+    SELECT doc_id, word, count(*) AS n FROM r, w WHERE contains(lower(run), word) GROUP BY doc_id, word""",
+)
+def _(spark, sf):
+    """The documents as bytes: runs of printable characters that hold a word of the rules."""
+    w = table(spark, sf, "topic_rules").select(F.explode("keywords").alias("word")).where("rlike(word, '^[a-z]+$')").distinct()
+    runs = documents(spark, sf).select("doc_id", F.explode(printable_runs(F.encode("text", "UTF-8"))).alias("run"))
+    return ru.match(runs, w, ru.contains("run", "word")).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+
+
+@query(
+    "output_hits",
+    """WITH w AS (SELECT DISTINCT word FROM (SELECT unnest(keywords) AS word FROM topic_rules) WHERE regexp_matches(word, '^[a-z]+$')),
+    s AS (SELECT path, line_no, line, sum(CASE WHEN regexp_matches(line, 'llm (?:ask|generate) ".*"') THEN 1 ELSE 0 END) OVER (PARTITION BY path ORDER BY line_no) AS session FROM session_log)
+    SELECT path, session::BIGINT AS session, count(*) AS n_lines, count(DISTINCT word) AS n_words FROM s, w WHERE session > 0 AND NOT regexp_matches(line, 'llm (?:ask|generate) ".*"') AND NOT line LIKE '[LLM]%' AND contains(lower(line), word) GROUP BY path, session""",
+)
+def _(spark, sf):
+    """What a model said in each session, held against the words of the rules."""
+    w = table(spark, sf, "topic_rules").select(F.explode("keywords").alias("word")).where("rlike(word, '^[a-z]+$')").distinct()
+    s = od.sessions(table(spark, sf, "session_log").select("path", "line_no", "line"))
+    said = s.where(~F.col("line").rlike('llm (?:ask|generate) ".*"') & ~F.col("line").startswith("[LLM]"))
+    return ru.match(said, w, ru.contains("line", "word")).groupBy("path", "session").agg(F.count("*").alias("n_lines"), F.countDistinct("word").alias("n_words"))
+
+
 @query(
     "forbidden_list",
-    """, a AS (SELECT ord, lower(word) AS word FROM (VALUES (1, 'lamp'), (2, 'Kiln'), (3, 'kiln'), (4, 'steam'), (5, 'LAMP'), (6, 'mast')) t(ord, word)) SELECT word, min(ord) AS first FROM a GROUP BY word""".replace(", a AS", "WITH a AS", 1),
+    """WITH a AS (SELECT lower(word) AS word, k * 1000 + i AS ord FROM (SELECT row_number() OVER (ORDER BY topic) AS k, unnest(keywords) AS word, generate_subscripts(keywords, 1) AS i FROM topic_rules) WHERE word <> ''
+      UNION ALL SELECT lower(n_name), 1000000 + n_nationkey FROM nation UNION ALL SELECT lower(r_name), 2000000 + r_regionkey FROM region)
+    SELECT word, min(ord)::BIGINT AS first FROM a GROUP BY word""",
 )
 def _(spark, sf):
-    presets = spark.createDataFrame([(1, "lamp"), (2, "Kiln"), (3, "kiln")], "ord int, word string")
-    own = spark.createDataFrame([(4, "steam"), (5, "LAMP"), (6, "mast")], "ord int, word string")
-    return vo.ordered_distinct(presets.unionByName(own).withColumn("word", F.lower("word")), "word", "ord")
+    """The words of all presets in order, then the user's own."""
+    k = F.row_number().over(Window.orderBy("topic"))  # a written list of rules
+    presets = table(spark, sf, "topic_rules").withColumn("k", k).select("k", F.posexplode("keywords").alias("i", "word")).where("word <> ''")
+    own = table(spark, sf, "nation").select((F.lit(1_000_000) + F.col("n_nationkey")).cast("long").alias("ord"), F.col("n_name").alias("word"))
+    more = table(spark, sf, "region").select((F.lit(2_000_000) + F.col("r_regionkey")).cast("long").alias("ord"), F.col("r_name").alias("word"))
+    every = presets.select((F.col("k") * 1000 + F.col("i") + 1).cast("long").alias("ord"), "word").unionByName(own).unionByName(more)
+    return vo.ordered_distinct(every.withColumn("word", F.lower("word")), "word", "ord")
 
 
 _STOPS = "the and for with that this from are was has have each every any our your its not but one two".split()
@@ -230,6 +264,18 @@ def _(spark, sf):
     return x.join(y, "path", "full").withColumn("differs", ~F.col("n_pairs").eqNullSafe(F.col("n_answers")))
 
 
+@query(
+    "source_set_differences",
+    f"""WITH x AS (SELECT DISTINCT path, {S('a')} AS a FROM pairs WHERE path IS NOT NULL AND {S('a')} <> ''), y AS (SELECT DISTINCT path, {S('a')} AS a FROM blocks WHERE path IS NOT NULL AND {S('a')} <> ''),
+    j AS (SELECT path, a, x.a IS NOT NULL AS l, y.a IS NOT NULL AS r FROM x FULL JOIN y USING (path, a))
+    SELECT path, count(*) FILTER (l AND NOT r) AS only_left, count(*) FILTER (r AND NOT l) AS only_right, count(*) FILTER (l AND r) AS both, bool_or(l <> r) AS differs FROM j GROUP BY path""".replace("x.a IS NOT NULL AS l, y.a IS NOT NULL AS r", "x.k IS NOT NULL AS l, y.k IS NOT NULL AS r").replace("AS a FROM", "AS a, 1 AS k FROM"),
+)
+def _(spark, sf):
+    """The sets of answers that pairs and blocks have for each path."""
+    said = lambda t: table(spark, sf, t).select("path", strip("a").alias("a"))
+    return ru.set_differences(said("pairs").where("a <> ''"), said("blocks").where("a <> ''"), "path", "a")
+
+
 @query("token_coverage")
 def _(spark, sf):
     """Capitalised terms that the public vocabulary cuts into pieces; checked against the tokenizer in the tests."""

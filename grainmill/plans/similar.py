@@ -13,24 +13,64 @@ from grainmill.operators import similarity as si
 from grainmill.plans.base import answers, blocks, documents, pairs, query, table
 from grainmill.plans.profile import S, W
 
-_SHORT = f""", t AS (SELECT DISTINCT q AS a FROM P WHERE {S('q')} <> ''), s AS (SELECT a, list_distinct({W('lower(trim(a, chr(32)))')}) AS w FROM t), s4 AS (SELECT * FROM s WHERE len(w) >= 4),
- near AS (SELECT x.a AS a, y.a AS b, len(list_intersect(x.w, y.w)) AS shared, least(len(x.w), len(y.w)) AS smaller FROM s4 x JOIN s4 y ON x.a < y.a)"""
+_NEAR = f""", t AS (SELECT DISTINCT a FROM A WHERE {S('a')} <> ''), s AS (SELECT a, list_distinct({W('lower(trim(a, chr(32)))')}) AS w FROM t),
+ near AS (SELECT x.a AS a, y.a AS b, len(list_intersect(x.w, y.w)) AS shared, least(len(x.w), len(y.w)) AS smaller FROM s x JOIN s y ON x.a < y.a)"""
 
 
-@query("near_duplicate_pairs", f"{_SHORT} SELECT a, b, shared, smaller FROM near WHERE shared * 4 >= smaller * 3", "P")
+def _said(spark, sf):
+    return answers(spark, sf).where(strip("a") != "").select("a")
+
+
+@query("near_duplicate_pairs", f"{_NEAR} SELECT a, b, shared, smaller FROM near WHERE shared * 4 >= smaller * 3", "A")
 def _(spark, sf):
-    """Questions, all of them: the largest table of short texts."""
-    return si.near_pairs(pairs(spark, sf).where(strip("q") != "").select(F.col("q").alias("a")))
+    return si.near_pairs(_said(spark, sf))
 
 
 @query(
-    "near_duplicate_groups",
-    _SHORT.replace(", t AS", "WITH RECURSIVE P AS (SELECT DISTINCT pair_id, path, line_no, q, a, prefix FROM pairs), t AS", 1)
+    "near_duplicates_ranked",
+    f"{_NEAR} SELECT row_number() OVER (ORDER BY shared / smaller DESC, a DESC, b DESC) AS place, a, b, shared / smaller AS similarity FROM near WHERE shared * 4 >= smaller * 3",
+    "A",
+)
+def _(spark, sf):
+    return si.ranked_pairs(si.near_pairs(_said(spark, sf)))
+
+
+_GROUPS = (
+    _NEAR.replace(", t AS", "WITH RECURSIVE A AS (SELECT DISTINCT answer_id, path, line_no, a FROM answers), t AS", 1)
     + """, e AS (SELECT a, b FROM near WHERE shared * 20 >= smaller * 17 AND NOT starts_with(a, b) AND NOT starts_with(b, a)), sym AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-    walk AS (SELECT a, a AS g FROM sym UNION SELECT sym.b, walk.g FROM walk JOIN sym ON sym.a = walk.a) SELECT a, min(g) AS "group" FROM walk GROUP BY a""",
+    walk AS (SELECT a, a AS g FROM sym UNION SELECT sym.b, walk.g FROM walk JOIN sym ON sym.a = walk.a), grp AS (SELECT a, min(g) AS "group" FROM walk GROUP BY a),
+    n AS (SELECT a, count(*) AS n FROM A WHERE a IS NOT NULL GROUP BY a),
+    c AS (SELECT row_number() OVER (ORDER BY sum(n) DESC, "group") AS place, sum(n)::BIGINT AS weight, list(a ORDER BY n DESC, length(a), a) AS members FROM grp JOIN n USING (a) GROUP BY "group")"""
 )
+
+
+@query("near_duplicate_groups", f'{_GROUPS} SELECT a, "group" FROM grp')
+def _(spark, sf):
+    return si.divergent_groups(_said(spark, sf))
+
+
+@query("cluster_weights", f"{_GROUPS} SELECT place, weight, members FROM c")
 def _(spark, sf):
-    return si.divergent_groups(pairs(spark, sf).where(strip("q") != "").select(F.col("q").alias("a")))
+    a = answers(spark, sf)
+    return si.clusters(si.divergent_groups(_said(spark, sf)), op.frequency(a, "a"))
+
+
+_RATED = "SELECT 'Orders of customer ' || o_custkey || ' are filled.' AS body, count(*) FILTER (o_orderstatus = 'F') AS yes, count(*) FILTER (o_orderstatus <> 'F') AS no FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderstatus = 'F') > 0 AND count(*) FILTER (o_orderstatus <> 'F') > 0"
+
+
+def _rated(spark, sf):
+    """What each order says of its customer's orders, as an answer with Yes or No."""
+    lead = F.when(F.col("o_orderstatus") == "F", "Yes. ").otherwise("No. ")
+    return table(spark, sf, "orders").select(F.concat(lead, F.lit("Orders of customer "), F.col("o_custkey").cast("string"), F.lit(" are filled.")).alias("a"))
+
+
+@query(
+    "review_list",
+    f"{_GROUPS}, p AS ({_RATED}) SELECT 'cluster' AS section, place, array_to_string(members, chr(10)) AS line FROM c UNION ALL SELECT 'yes/no', row_number() OVER (ORDER BY body), body FROM p",
+)
+def _(spark, sf):
+    found = si.clusters(si.divergent_groups(_said(spark, sf)), op.frequency(answers(spark, sf), "a"))
+    return si.review(found, si.polarity_conflicts(_rated(spark, sf)))
 
 
 _SQ = r"trim(regexp_replace({0}, '[ \t\n\f\r]+', ' ', 'g'), ' ')"
@@ -61,44 +101,49 @@ def _(spark, sf):
     return si.apply_map(a, m, "a", "to")
 
 
+_BODIES = r"A AS (SELECT DISTINCT answer_id, path, line_no, a FROM answers), said AS (SELECT a FROM A WHERE a IS NOT NULL UNION SELECT regexp_extract(a, '^[^.]*[.]') FROM A WHERE a IS NOT NULL)"
+
+
+def _bodies(spark, sf):
+    """The answers, and the first sentence of each as an answer of its own: bodies that others go on from."""
+    a = answers(spark, sf).where("a is not null").select("a")
+    return a.unionByName(a.select(F.regexp_extract("a", "^[^.]*[.]", 0).alias("a"))).distinct()
+
+
 @query(
     "prefix_trim",
-    r"""WITH RECURSIVE A AS (SELECT DISTINCT answer_id, path, line_no, a FROM answers), x AS (SELECT DISTINCT regexp_replace(a, '^(?:Yes|No)\.[ \t\n\f\r]+(.)', '\1') AS x FROM A WHERE a IS NOT NULL), b AS (SELECT x FROM x WHERE x <> ''),
+    rf"""WITH RECURSIVE {_BODIES}, x AS (SELECT DISTINCT regexp_replace(a, '^(?:Yes|No)\.[ \t\n\f\r]+(.)', '\1') AS x FROM said), b AS (SELECT x FROM x WHERE x <> ''),
     p AS (SELECT l.x AS x, s.x AS core FROM b l JOIN b s ON starts_with(l.x, s.x || ' ') WHERE s.x LIKE '%.' AND len(list_filter(string_split_regex(s.x, '[ \t\n\f\r]+'), lambda w: w <> '')) >= 3),
     f AS (SELECT x, arg_min(core, length(core)) AS core FROM p GROUP BY x),
     w AS (SELECT x, core FROM f UNION SELECT w.x, f.core FROM w JOIN f ON w.core = f.x)
     SELECT x AS a, core FROM w WHERE core NOT IN (SELECT x FROM f)""",
 )
 def _(spark, sf):
-    return si.core_of(answers(spark, sf).where("a is not null"))
+    return si.core_of(_bodies(spark, sf))
 
 
-@query(
-    "polarity_conflicts",
-    r""", y AS (SELECT regexp_extract(t, '^(Yes|No)\. ', 1) AS lead, regexp_replace(t, '^(?:Yes|No)\. ', '') AS body FROM (SELECT CASE WHEN answer_id % 2 = 0 THEN 'Yes. ' ELSE 'No. ' END || a AS t FROM A WHERE regexp_matches(a, '^[A-Za-z]')))
-    SELECT body, count(*) FILTER (lead = 'Yes') AS yes, count(*) FILTER (lead = 'No') AS no FROM y GROUP BY body HAVING count(*) FILTER (lead = 'Yes') > 0 AND count(*) FILTER (lead = 'No') > 0""",
-    "A",
-)
+@query("polarity_conflicts", _RATED)
 def _(spark, sf):
-    """The answers have no such leads of their own; they get one by the parity of their id."""
-    a = answers(spark, sf).where("rlike(a, '^[A-Za-z]')")
-    return si.polarity_conflicts(a.select(F.concat(F.when(F.col("answer_id") % 2 == 0, "Yes. ").otherwise("No. "), F.col("a")).alias("a")))
+    return si.polarity_conflicts(_rated(spark, sf))
 
 
 # ---- graphs ----
 
-_EVO = [("Wob", "Wobbar", "level", "12"), ("Wobbar", "Wobbarox", "level", "30"), ("Wobbar", "Wobbarin", "stone", "tide"), ("Mip", "Mippel", "trade", None), ("Sel", "Seltor", "stone", "tide"), ("Seltor", "Selgrand", "level", "44")]
-_ALONE = ["Quon"]
-_EVO_SQL = "e AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{m}', {'NULL' if d is None else chr(39) + d + chr(39)})" for a, b, m, d in _EVO) + ") t(src, dst, method, detail)), n AS (SELECT src AS name FROM e UNION SELECT dst FROM e UNION SELECT 'Quon')"
+# The parts make a forest: part k comes from part k div 3, by way of its size and brand; every seventh size stands alone.
+_EVO_SQL = """g AS (SELECT p_partkey::VARCHAR AS name, (p_partkey // 3)::VARCHAR AS parent, CASE p_size % 3 WHEN 0 THEN 'level' WHEN 1 THEN 'stone' ELSE 'trade' END AS method,
+    CASE p_size % 3 WHEN 0 THEN p_size::VARCHAR WHEN 1 THEN p_brand END AS detail, p_partkey // 3 >= 1 AND p_size % 7 <> 0 AS linked FROM part),
+    e AS (SELECT parent AS src, name AS dst, method, detail FROM g WHERE linked), n AS (SELECT name FROM g)"""
 
 
-def _evo(spark):
-    return spark.createDataFrame(_EVO, "src string, dst string, method string, detail string")
+def _evo(spark, sf):
+    kind = F.expr("CASE p_size % 3 WHEN 0 THEN 'level' WHEN 1 THEN 'stone' ELSE 'trade' END")
+    detail = F.expr("CASE p_size % 3 WHEN 0 THEN string(p_size) WHEN 1 THEN p_brand END")
+    p = table(spark, sf, "part").where("p_partkey div 3 >= 1 and p_size % 7 <> 0")
+    return p.select(F.expr("string(p_partkey div 3)").alias("src"), F.col("p_partkey").cast("string").alias("dst"), kind.alias("method"), detail.alias("detail"))
 
 
-def _names(spark):
-    e = _evo(spark)
-    return e.select(F.col("src").alias("name")).union(e.select("dst")).union(spark.createDataFrame([(x,) for x in _ALONE], "name string")).distinct()
+def _names(spark, sf):
+    return table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("name"))
 
 
 _WALK = f"WITH RECURSIVE {_EVO_SQL}, w AS (SELECT name AS base, name AS here, name AS path FROM n WHERE name NOT IN (SELECT dst FROM e) UNION ALL SELECT base, dst, path || ' > ' || dst FROM w JOIN e ON w.here = e.src)"
@@ -106,36 +151,59 @@ _WALK = f"WITH RECURSIVE {_EVO_SQL}, w AS (SELECT name AS base, name AS here, na
 
 @query("evolution_chains", f"{_WALK} SELECT base, here AS final, path FROM w WHERE here NOT IN (SELECT src FROM e)")
 def _(spark, sf):
-    return gr.chains(_names(spark), _evo(spark))
+    return gr.chains(_names(spark, sf), _evo(spark, sf))
 
 
 @query("base_forms", f"{_WALK} SELECT here AS name, base FROM w")
 def _(spark, sf):
-    return gr.walks(_names(spark), _evo(spark)).select(F.col("at").alias("name"), "base")
+    return gr.walks(_names(spark, sf), _evo(spark, sf)).select(F.col("at").alias("name"), "base")
 
 
 @query("never_evolves", f"WITH {_EVO_SQL} SELECT name FROM n WHERE name NOT IN (SELECT src FROM e) AND name NOT IN (SELECT dst FROM e)")
 def _(spark, sf):
-    e = _evo(spark)
-    return _names(spark).join(e.select(F.col("src").alias("name")), "name", "left_anti").join(e.select(F.col("dst").alias("name")), "name", "left_anti")
+    e = _evo(spark, sf)
+    return _names(spark, sf).join(e.select(F.col("src").alias("name")), "name", "left_anti").join(e.select(F.col("dst").alias("name")), "name", "left_anti")
 
 
 @query("evolves_from", f"WITH {_EVO_SQL} SELECT dst AS name, max(src) AS parent FROM e GROUP BY dst")
 def _(spark, sf):
-    return _evo(spark).groupBy(F.col("dst").alias("name")).agg(F.max("src").alias("parent"))
+    return _evo(spark, sf).groupBy(F.col("dst").alias("name")).agg(F.max("src").alias("parent"))
 
 
 @query("method_lists", f"WITH {_EVO_SQL} SELECT method, coalesce(detail, '') AS detail, count(*) AS n, array_to_string(list_sort(list(src)), ', ') AS names FROM e GROUP BY 1, 2")
 def _(spark, sf):
-    return _evo(spark).groupBy("method", F.coalesce("detail", F.lit("")).alias("detail")).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("src")), ", ").alias("names"))
+    return _evo(spark, sf).groupBy("method", F.coalesce("detail", F.lit("")).alias("detail")).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("src")), ", ").alias("names"))
+
+
+_BY_METHOD = "CASE method WHEN 'level' THEN dst || ' at level ' || detail WHEN 'stone' THEN dst || ' with a ' || detail ELSE dst || ' when traded' END"
+
+
+@query(
+    "evolution_sentences",
+    f"""WITH {_EVO_SQL}, o AS (SELECT src, count(*) AS k, string_agg({_BY_METHOD}, ', ' ORDER BY dst) AS parts FROM e GROUP BY src)
+    SELECT n.name, CASE WHEN k IS NULL THEN n.name || ' does not evolve.' ELSE n.name || ' evolves into ' || parts || '.' END AS answer FROM n LEFT JOIN o ON o.src = n.name""",
+)
+def _(spark, sf):
+    return ge.chain_sentences(_names(spark, sf), _evo(spark, sf))
 
 
-_TREE = '{"name": "root", "into": [{"name": "left", "into": [{"name": "deep", "into": []}]}, {"name": "right", "into": []}]}'
+@query(
+    "relationship_questions",
+    f"""WITH {_EVO_SQL} SELECT 'What does ' || src || ' evolve into?' AS q, dst AS a FROM e UNION ALL SELECT 'What does ' || dst || ' evolve from?', src FROM e
+    UNION ALL SELECT 'How does ' || src || ' become ' || dst || '?', CASE method WHEN 'level' THEN 'Level ' || src || ' up to level ' || detail || '.' WHEN 'stone' THEN 'Use a ' || detail || ' on ' || src || '.' ELSE 'Trade ' || src || '.' END FROM e""",
+)
+def _(spark, sf):
+    return ge.relationship_questions(_evo(spark, sf))
 
 
-@query("tree_edges", "SELECT * FROM (VALUES ('root', 'left'), ('root', 'right'), ('left', 'deep')) t(src, dst)")
+@query("tree_edges", "SELECT r_name AS src, n_name AS dst FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT n_name, s_name FROM supplier JOIN nation ON s_nationkey = n_nationkey")
 def _(spark, sf):
-    return gr.tree_edges(spark.createDataFrame([(_TREE,)], "tree string"), "tree", "name", "into", depth=4)
+    """One JSON tree for each region: its nations, and the suppliers of these."""
+    leaf = table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.collect_list(F.struct(F.col("s_name").alias("name"))).alias("into"))
+    n = table(spark, sf, "nation").join(leaf, F.col("n_nationkey") == F.col("s_nationkey"), "left")
+    mid = n.groupBy("n_regionkey").agg(F.collect_list(F.struct(F.col("n_name").alias("name"), "into")).alias("into"))
+    r = table(spark, sf, "region").join(mid, F.col("n_regionkey") == F.col("r_regionkey"))
+    return gr.tree_edges(r.select(F.to_json(F.struct(F.col("r_name").alias("name"), "into")).alias("tree")), "tree", "name", "into", depth=4)
 
 
 @query("supply_components")
@@ -145,6 +213,15 @@ def _(spark, sf):
     return gr.connected_components(l.select((F.col("l_partkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst")))
 
 
+@query(
+    "part_components",
+    f"""WITH RECURSIVE {_EVO_SQL}, y AS (SELECT src::BIGINT AS a, dst::BIGINT AS b FROM e UNION SELECT dst::BIGINT, src::BIGINT FROM e), w AS (SELECT a, a AS g FROM y UNION SELECT y.b, w.g FROM w JOIN y ON y.a = w.a)
+    SELECT a AS node, min(g) AS component FROM w GROUP BY a""",
+)
+def _(spark, sf):
+    return gr.connected_components(_evo(spark, sf))
+
+
 # ---- generated questions ----
 
 _TEMPLATES = [("region", 1, "Which region is {name} in?", "{name} is in {value}."), ("region", 2, "Where is {name}?", "In {value}."), ("key", 3, "What number has {name}?", "{name} has number {value}.")]
@@ -173,27 +250,42 @@ def _(spark, sf):
     return ge.variants(_facts(spark, sf))
 
 
-_CHART = [("ash", "mud", 2.0), ("ash", "ice", 0.5), ("mud", "ice", 2.0), ("mud", "ash", 0.5), ("ice", "ash", 2.0), ("ice", "fog", 0.0), ("fog", "mud", 2.0), ("ash", "fog", 2.0), ("ice", "mud", 0.5)]
-_KINDS = ["ash", "mud", "ice", "fog"]
-_BEASTS = [("Anor", ["ash"]), ("Bemud", ["mud", "ice"]), ("Cifog", ["fog", "mud"]), ("Dasha", ["ash", "ice"])]
-_CHART_SQL = (
-    "c AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{d}', {m}::DOUBLE)" for a, d, m in _CHART) + ") t(atk, def, mult)), k AS (SELECT unnest(['ash', 'mud', 'ice', 'fog']) AS kind), "
-    "f AS (SELECT x.kind AS atk, y.kind AS def, coalesce(mult, 1.0)::DOUBLE AS mult FROM k x CROSS JOIN k y LEFT JOIN c ON c.atk = x.kind AND c.def = y.kind), "
-    "b AS (SELECT * FROM (VALUES ('Anor', ['ash']), ('Bemud', ['mud', 'ice']), ('Cifog', ['fog', 'mud']), ('Dasha', ['ash', 'ice'])) t(name, kinds))"
-)
+# Kinds are nations; what one does to another follows from their numbers; suppliers are of two kinds, or of one.
+_MULT = "CASE ({a} * 7 + {d} * 3) % 8 WHEN 0 THEN 2.0 WHEN 1 THEN 0.5 WHEN 2 THEN 0.0 WHEN 3 THEN 2.0 END"
+_CHART_SQL = f"""c AS (SELECT x.n_name AS atk, y.n_name AS def, {_MULT.format(a='x.n_nationkey', d='y.n_nationkey')}::DOUBLE AS mult FROM nation x, nation y),
+    f AS (SELECT atk, def, coalesce(mult, 1.0)::DOUBLE AS mult FROM c),
+    b AS (SELECT s_name AS name, list_distinct([x.n_name, y.n_name]) AS kinds FROM supplier JOIN nation x ON x.n_nationkey = s_nationkey JOIN nation y ON y.n_nationkey = s_suppkey % 25)"""
 
 
-def _full(spark):
-    return ge.matchups(spark.createDataFrame(_CHART, "atk string, def string, mult double"), spark.createDataFrame([(x,) for x in _KINDS], "kind string"))
+def _full(spark, sf):
+    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    x, y = n.toDF("ka", "atk"), n.toDF("kd", "def")
+    chart = x.join(F.broadcast(y), F.lit(True)).select("atk", "def", F.expr(_MULT.format(a="ka", d="kd")).cast("double").alias("mult")).where("mult is not null")
+    return ge.matchups(chart, n.select(F.col("n_name").alias("kind")))
 
 
-def _beasts(spark):
-    return spark.createDataFrame(_BEASTS, "name string, kinds array<string>")
+def _beasts(spark, sf):
+    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    s = table(spark, sf, "supplier").select(F.col("s_name").alias("name"), "s_nationkey", (F.col("s_suppkey") % 25).alias("k2"))
+    j = s.join(F.broadcast(n.toDF("s_nationkey", "one")), "s_nationkey").join(F.broadcast(n.toDF("k2", "two")), "k2")
+    return j.select("name", F.array_distinct(F.array("one", "two")).alias("kinds"))
 
 
 @query("matchup_table", f"WITH {_CHART_SQL} SELECT * FROM f")
 def _(spark, sf):
-    return _full(spark)
+    return _full(spark, sf)
+
+
+@query(
+    "kind_multipliers",
+    f"WITH {_CHART_SQL}, l AS (SELECT def, list(atk) FILTER (mult = 0) AS immune, list(atk) FILTER (mult = 2) AS weak, list(atk) FILTER (mult = 0.5) AS resist FROM f GROUP BY def) SELECT def, atk, mult FROM f JOIN l USING (def)",
+)
+def _(spark, sf):
+    """The chart read from three lists of each defender, immune before weak before resist."""
+    m = _full(spark, sf)
+    some = lambda x: F.collect_list(F.when(F.col("mult") == x, F.col("atk")))
+    lists = m.groupBy("def").agg(some(0.0).alias("immune"), some(2.0).alias("weak"), some(0.5).alias("resist"))
+    return m.select("def", "atk").join(lists, "def").select("def", "atk", ge.multiplier(F.col("atk"), F.col("immune"), F.col("weak"), F.col("resist")).alias("mult"))
 
 
 @query(
@@ -202,29 +294,29 @@ def _(spark, sf):
     SELECT name, atk, mult, CASE WHEN mult = 0 THEN 'immune' WHEN mult >= 4 THEN 'quadruple' WHEN mult > 1 THEN 'double' WHEN mult < 1 THEN 'resist' END AS bucket FROM m""",
 )
 def _(spark, sf):
-    return ge.defence(_beasts(spark), _full(spark))
+    return ge.defence(_beasts(spark, sf), _full(spark, sf))
 
 
 @query("offence_coverage", f"WITH {_CHART_SQL}, e AS (SELECT name, unnest(kinds) AS atk FROM b) SELECT name, list_sort(list(DISTINCT def)) AS covered FROM e JOIN f USING (atk) WHERE mult > 1 GROUP BY name")
 def _(spark, sf):
-    return ge.offence(_beasts(spark), _full(spark))
+    return ge.offence(_beasts(spark, sf), _full(spark, sf))
 
 
 @query("kind_combinations", f"WITH {_CHART_SQL} SELECT list_sort(kinds) AS kinds, count(*) AS n FROM b GROUP BY 1")
 def _(spark, sf):
-    return _beasts(spark).groupBy(F.array_sort("kinds").alias("kinds")).agg(F.count("*").alias("n"))
+    return _beasts(spark, sf).groupBy(F.array_sort("kinds").alias("kinds")).agg(F.count("*").alias("n"))
 
 
 @query("immunities", f"WITH {_CHART_SQL} SELECT def, array_to_string(list_sort(list(atk)), ', ') AS immune_to FROM f WHERE mult = 0 GROUP BY def")
 def _(spark, sf):
-    return _full(spark).where("mult = 0").groupBy("def").agg(F.array_join(F.array_sort(F.collect_list("atk")), ", ").alias("immune_to"))
+    return _full(spark, sf).where("mult = 0").groupBy("def").agg(F.array_join(F.array_sort(F.collect_list("atk")), ", ").alias("immune_to"))
 
 
-@query("larger_pairs", """WITH p AS (SELECT * FROM (VALUES (1, 2), (3, 4), (5, 6)) t(x, y)) SELECT a.p_name AS a, b.p_name AS b, CASE WHEN a.p_size > b.p_size THEN a.p_name WHEN b.p_size > a.p_size THEN b.p_name END AS larger FROM p JOIN part a ON a.p_partkey = x JOIN part b ON b.p_partkey = y""")
+@query("larger_pairs", """SELECT a.p_name AS a, b.p_name AS b, CASE WHEN a.p_size > b.p_size THEN a.p_name WHEN b.p_size > a.p_size THEN b.p_name END AS larger FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1""")
 def _(spark, sf):
-    p = spark.createDataFrame([(1, 2), (3, 4), (5, 6)], "x long, y long")
+    """Every part against the next one."""
     part = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
-    j = p.join(part.toDF("x", "a", "sa"), "x").join(part.toDF("y", "b", "sb"), "y")
+    j = part.toDF("x", "a", "sa").join(part.select((F.col("p_partkey") - 1).alias("x"), F.col("p_name").alias("b"), F.col("p_size").alias("sb")), "x")
     return j.select("a", "b", F.when(F.col("sa") > F.col("sb"), F.col("a")).when(F.col("sb") > F.col("sa"), F.col("b")).alias("larger"))
 
 

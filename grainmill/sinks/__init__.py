@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.operators.similarity import apply_map
+
 
 def block_text(q: str = "q", a: str = "a", do: str = "do", text: str = "text") -> Column:
     """A block as corpus text: question and response lines, or the prose; null if there is nothing."""
@@ -28,11 +30,15 @@ def write_corpus(blocks: DataFrame, path: str, *key: str, seed: int | None = 42)
 
 
 def rewrite_lines(lines: DataFrame, mapping: DataFrame, path: str, key: str = "path", order: str = "line_no", line: str = "line") -> None:
-    """Lines with the answers of "A: " lines replaced by the map (a, to), in order, one folder for each key."""
+    """Lines with the answers of "A: " lines replaced by the map (a, to), one folder for each key.
+
+    The files of a folder, in order of their names, hold its lines in order; a folder with very many lines is written
+    by several tasks.
+    """
     body = F.when(F.col(line).startswith("A: "), F.trim(F.substring(line, 4, 1 << 30)))
-    j = lines.withColumn("_a", body).join(mapping.select(F.col("a").alias("_a"), "to"), "_a", "left")
-    out = j.select(key, order, F.when(F.col("to").isNotNull(), F.concat(F.lit("A: "), F.col("to"))).otherwise(F.col(line)).alias("value"))
-    out.repartition(key).sortWithinPartitions(key, order).select(key, "value").write.partitionBy(key).text(path)
+    j = apply_map(lines.withColumn("_a", body), mapping.select(F.col("a").alias("_a"), "to"), "_a", "to")
+    out = j.select(key, order, F.when(F.col("changed"), F.concat(F.lit("A: "), F.col("_a"))).otherwise(F.col(line)).alias("value"))
+    out.repartitionByRange(key, order).sortWithinPartitions(key, order).select(key, "value").write.partitionBy(key).text(path)
 
 
 def changelog(merged: DataFrame, trimmed: DataFrame) -> DataFrame:
@@ -45,6 +51,12 @@ def changelog(merged: DataFrame, trimmed: DataFrame) -> DataFrame:
     return one.unionByName(rest)
 
 
+def write_review(found: DataFrame, path: str) -> None:
+    """The review list (section, place, line) of ``similarity.review`` as text, clusters first, a heading before each."""
+    head = F.concat(F.lit("### "), F.initcap("section"), F.lit(" "), F.col("place").cast("string"), F.lit("\n"), F.col("line"))
+    found.orderBy("section", "place").select(head.alias("value")).write.text(path, lineSep="\n\n")
+
+
 def write_word_list(words: DataFrame, path: str, header: list[str], word: str = "word") -> None:
     """A sorted word list, one entry a line, with # lines before the first."""
     h = words.sparkSession.createDataFrame([(0, i, "# " + x) for i, x in enumerate(header)], "a int, i int, value string")
@@ -58,8 +70,8 @@ def write_token_list(tokens: DataFrame, path: str, token: str = "token", order:
 
 
 def write_sessions(sessions: DataFrame, path: str, slug: str = "slug", order: str = "line_no", line: str = "line") -> None:
-    """The lines of each session, in order, in a folder of its own."""
-    sessions.repartition(slug).sortWithinPartitions(slug, order).select(slug, F.col(line).alias("value")).write.partitionBy(slug).text(path)
+    """The lines of each session in a folder of its own, in order of its files' names."""
+    sessions.repartitionByRange(slug, order).sortWithinPartitions(slug, order).select(slug, F.col(line).alias("value")).write.partitionBy(slug).text(path)
 
 
 def tokenizer_block(vocab: DataFrame, merges: DataFrame) -> bytes:

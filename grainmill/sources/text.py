@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.functions.text import strip
+from grainmill.functions.text import printable_runs, strip
 
 
 def read_corpus(spark: SparkSession, path: str | list[str], glob: str | None = None, recursive: bool = False) -> DataFrame:
@@ -205,8 +205,7 @@ def test_prompts(texts: DataFrame, key: str = "path", text: str = "text") -> Dat
 def binary_strings(spark: SparkSession, path: str, min_len: int = 3) -> DataFrame:
     """(path, ord, run): runs of at least so many printable ASCII bytes of binary files."""
     raw = spark.read.format("binaryFile").load(path)
-    t = F.decode("content", "ISO-8859-1")
-    return raw.select("path", F.posexplode(F.regexp_extract_all(t, F.lit(r"([\x20-\x7E]{%d,})" % min_len), F.lit(1))).alias("ord", "run"))
+    return raw.select("path", F.posexplode(printable_runs("content", min_len)).alias("ord", "run"))
 
 
 def json_records(spark: SparkSession, path: str, schema: str, key: str, expected: int | None = None) -> DataFrame:

@@ -147,7 +147,7 @@ def test_near_pairs_equal_brute_force(spark):
     words = [f"w{i}" for i in range(30)] + ["the"] * 15
     ts = sorted({" ".join(r.choice(words) for _ in range(r.randrange(1, 9))) for _ in range(150)}) + [None, "", "The w1 w2 w3 w4"]
     got = {(x.a, x.b, x.shared, x.smaller) for x in similarity.near_pairs(spark.createDataFrame([(t,) for t in ts], "a string")).collect()}
-    sets = {t: set(t.lower().split()) for t in ts if t and len(set(t.lower().split())) >= 4}
+    sets = {t: set(t.lower().split()) for t in ts if t}
     want = set()
     for a in sets:
         for b in sets:
@@ -339,3 +339,96 @@ def test_tree_edges_and_numeric_stats(spark):
     got = {x.g: x.degenerate for x in profile.numeric_stats(df, "g", "v").collect()}
     assert got == {"z": True, "k": False, "nan": True}
     assert np.isclose(profile.numeric_stats(df, "g", "v").where("g = 'k'").first()["std"], 0.7071067811865476)
+
+
+def test_ranked_pairs_clusters_and_review(spark):
+    rows = [("a b c d", 3), ("a b c d e", 1), ("a b c x", 2), ("q r s t u v w", 9), ("q r s t u v z", 1), ("lonely", 1)]
+    t = spark.createDataFrame(rows, "a string, n long")
+    p = similarity.near_pairs(t)
+    ranked = similarity.ranked_pairs(p).orderBy("place").collect()
+    assert [x.place for x in ranked] == list(range(1, len(ranked) + 1))
+    assert [(x.similarity, x.a, x.b) for x in ranked] == sorted(((x.similarity, x.a, x.b) for x in ranked), reverse=True)
+    g = similarity.divergent_groups(t, parts=4, whole=3)
+    c = similarity.clusters(g, t).orderBy("place").collect()
+    assert [(x.place, x.weight) for x in c] == [(1, 10), (2, 6)]
+    assert c[0].members == ["q r s t u v w", "q r s t u v z"] and c[1].members == ["a b c d", "a b c x", "a b c d e"]
+    said = spark.createDataFrame([("b1", 1, 1)], "body string, yes long, no long")
+    r = similarity.review(similarity.clusters(g, t), said)
+    assert {(x.section, x.place) for x in r.collect()} == {("cluster", 1), ("cluster", 2), ("yes/no", 1)}
+    assert similarity.near_pairs(t.where("false")).count() == 0
+
+
+def test_short_texts_have_near_repeats(spark):
+    t = spark.createDataFrame([("yes",), ("Yes yes",), ("yes it does",), ("no",), (None,), (" ",)], "a string")
+    assert {(x.a, x.b) for x in similarity.near_pairs(t).collect()} == {("Yes yes", "yes"), ("Yes yes", "yes it does"), ("yes", "yes it does")}
+
+
+def test_apply_map_with_a_hot_value(spark):
+    df = spark.range(6000).selectExpr("if(id % 3 = 0, 'hot', string(id)) as a", "id")
+    m = spark.createDataFrame([("hot", "cold"), ("1", "one"), ("nowhere", "x")], "a string, to string")
+    got = similarity.apply_map(df, m, "a", "to")
+    assert got.where("a = 'cold' and changed").count() == 2000 and got.where("a = 'one'").count() == 1 and got.where("not changed").count() == 3999
+
+
+def test_sentence_functions(spark):
+    t = spark.createDataFrame([("Pump is wet.", 1, "octopus"), ("x" * 61, 11, "bus"), (None, 102, None), ("", 0, "")], "a string, n int, w string")
+    got = t.select(tx.shortened("a"), tx.ordinal("n"), tx.with_article("w"), tx.plural("w")).collect()
+    assert [tuple(x) for x in got] == [("Pump is wet.", "first", "an octopus", "octopuses"), ("x" * 60 + "...", "11th", "a bus", "buses"), (None, "102nd", None, None), ("", None, "a ", "s")]
+    a = spark.createDataFrame([("The Pump sensor is wet.",), ("Type openlid to open the lid, or not.",), ("See ABC-12 there.",), ("Over the other wall and the valve.",), ("",), (None,)], "a string")
+    got = [tuple(x) for x in a.select(tx.topic_of("a"), tx.action_of("a")).collect()]
+    assert got == [("Pump sensor", "pump sensor"), ("openlid", "open the lid"), ("ABC-12", "abc-12"), ("valve", "valve"), (None, None), (None, None)]
+    c = spark.createDataFrame([("Type openlid. then type THE and type x;",)], "a string")
+    assert c.select(tx.typed_commands("a")).first()[0] == ["openlid", "x"]
+
+
+def test_generated_questions(spark):
+    names = spark.createDataFrame([("Wob",), ("Mip",)], "name string")
+    e = spark.createDataFrame([("Wob", "Zed", "stone", "tide"), ("Wob", "Ark", "level", "12"), ("Wob", "Tam", "trade", None)], "src string, dst string, method string, detail string")
+    got = dict(generate.chain_sentences(names, e).collect())
+    assert got == {"Wob": "Wob evolves into Ark at level 12, Tam when traded, Zed with a tide.", "Mip": "Mip does not evolve."}
+    assert generate.relationship_questions(e).count() == 9
+    d = spark.createDataFrame([("text", "pumps"), (None, "x"), ("y", None)], "text string, topic string")
+    assert {x.kind for x in generate.bridged(d).collect()} == {"prose", "qa"} and generate.bridged(d).count() == 2
+    c = spark.createDataFrame([("openlid", "open", "lid"), ("zaplid", "zap", "lid")], "command string, verb string, noun string")
+    s = spark.createDataFrame([("open", 0, "open"), ("open", 1, "unlock")], "verb string, ord int, synonym string")
+    have = spark.createDataFrame([("openlid", "OPEN lid"), (None, None)], "command string, q string")
+    q = generate.command_questions(c, s, have, 9).collect()
+    own = [x.q for x in q if x.command == "openlid"]
+    assert len(own) == 9 and "open lid" not in own and "unlock lid" in own and len([x for x in q if x.command == "zaplid"]) == 8
+    k = spark.createDataFrame([("a", ["a"], ["a"], []), ("b", [], ["b"], ["b"]), ("c", [], [], ["c"]), ("d", [], [], [])], "k string, i array<string>, w array<string>, r array<string>")
+    assert [x[0] for x in k.select(generate.multiplier(F.col("k"), F.col("i"), F.col("w"), F.col("r"))).collect()] == [0.0, 2.0, 0.5, 1.0]
+
+
+def test_set_differences(spark):
+    l = spark.createDataFrame([("p", "1"), ("p", "2"), ("p", "2"), ("q", "1"), (None, "1")], "k string, v string")
+    r = spark.createDataFrame([("p", "2"), ("q", "1"), ("s", "9")], "k string, v string")
+    assert {tuple(x) for x in rules.set_differences(l, r, "k", "v").collect()} == {("p", 1, 0, 1, True), ("q", 0, 0, 1, False), ("s", 0, 1, 0, True)}
+
+
+def test_time_follows_the_length_of_a_text(spark):
+    """Twice the words or lines take about twice the time, not four times."""
+    import time
+
+    from grainmill.sources.text import line_array
+
+    def took(n, run):
+        df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(n)), "\n".join(f"line {i}" for i in range(n)))], "k int, t string, l string")
+        best = 9e9
+        for _ in range(2):
+            began = time.time()
+            run(df).write.format("noop").mode("overwrite").save()
+            best = min(best, time.time() - began)
+        return best
+
+    for run in (lambda d: profile.ngram_frequency(d, "t", 3), lambda d: ordered.line_neighbours(d, "k", line_array("l"))):
+        took(1000, run)
+        short, long = took(20_000, run), took(80_000, run)
+        assert long < 8 * max(short, 0.3)
+
+
+def test_rewritten_lines_keep_their_order(spark, tmp_path):
+    rows = [("hot", i, "A: old" if i % 2 else f"Q: q{i}") for i in range(500)] + [("x", 1, "A: other")]
+    sinks.rewrite_lines(spark.createDataFrame(rows, "path string, line_no int, line string"), spark.createDataFrame([("old", "new")], "a string, to string"), str(tmp_path / "o"))
+    files = sorted((tmp_path / "o" / "path=hot").glob("part-*"))
+    got = [x for f in files for x in f.read_text().splitlines()]
+    assert got == ["A: new" if i % 2 else f"Q: q{i}" for i in range(500)]
