@@ -10,6 +10,10 @@ from grainmill.operators.graph import connected_components, resolve_map
 from grainmill.session import hot_split_join, materialize
 
 
+#: Longs of a word set's bitmap.
+LONGS = 4
+
+
 def near_pairs(texts: DataFrame, text: str = "a", parts: int = 4, whole: int = 3) -> DataFrame:
     """(a, b, shared, smaller): pairs of different texts whose word sets overlap by at least whole/parts of the smaller.
 
@@ -19,17 +23,25 @@ def near_pairs(texts: DataFrame, text: str = "a", parts: int = 4, whole: int = 3
     many texts have are salted. a < b.
     """
     t = texts.select(F.trim(F.lower(F.col(text))).alias("t"), F.col(text).alias("x")).where("t <> ''").groupBy("x").agg(F.first("t").alias("t"))
-    sets = t.select(F.col("x"), F.array_distinct(tokens("t")).alias("w"))
-    sets = materialize(sets.select("x", "w", F.size("w").alias("m"), F.md5("x").alias("h")), "sets")
+    sets = t.select(F.col("x"), F.array_distinct(tokens("t")).alias("w")).withColumn("p", F.transform("w", lambda x: F.pmod(F.xxhash64(x), F.lit(64 * LONGS))))
+    bits = [F.expr(f"aggregate(p, 0L, (a, x) -> if(x div 64 = {i}, a | shiftleft(1L, int(x % 64)), a))").alias(f"b{i}") for i in range(LONGS)]
+    # the number is written with the row, so it stays the same
+    sets = materialize(sets.select("x", "w", F.size("w").alias("m"), *bits, F.monotonically_increasing_id().alias("h")), "sets")
     df = sets.select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     # the words of the language are in very many sets: hot words are joined apart
-    posted = materialize(hot_split_join(sets.select("h", "m", F.explode("w").alias("word")), materialize(df.withColumn("n", F.col("df")), "df"), "word", "n"), "posted")
+    known = materialize(df.withColumn("n", F.col("df")), "df")
+    posted = materialize(hot_split_join(sets.select("h", "m", F.explode("w").alias("word")), known, "word", "n"), "posted")
     ranked = posted.groupBy("h", "m").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("s"))
     need = F.ceil(F.col("m") * whole / parts)
-    rare = ranked.select(F.col("h").alias("h1"), F.col("m").alias("m1"), F.explode(F.slice("s", F.lit(1), (F.col("m") - need + 1).cast("int"))).alias("s")).select("h1", "m1", F.col("s.word").alias("word"), F.col("s.df").alias("df"))
-    # the larger set holds the word anywhere; sizes decide which side is the smaller, equal sizes by hash
-    every = posted.select(F.col("h").alias("h2"), F.col("m").alias("m2"), "word")
-    cand = hot_split_join(every, materialize(rare, "rare"), "word", "df", keep_key=False).where("m1 < m2 or (m1 = m2 and h1 < h2)").select("h1", "h2").distinct()
+    rare = ranked.select("h", F.explode(F.slice("s", F.lit(1), (F.col("m") - need + 1).cast("int"))).alias("s")).select("h", F.col("s.word").alias("word"), F.col("s.df").alias("df"))
+    side = lambda k: [F.col(c).alias(c + k) for c in ("h", "m", *[f"b{i}" for i in range(LONGS)])]
+    rare = rare.join(sets.select(*side("1")), F.col("h") == F.col("h1")).drop("h")
+    # the larger set holds the word anywhere; sizes decide which side is the smaller, equal sizes by number
+    every = sets.select(*side("2"), F.explode("w").alias("word"))
+    # bits that only the smaller set has are words that the larger lacks: most pairs end here
+    lacks = sum(F.bit_count(F.col(f"b{i}1").bitwiseAND(F.bitwise_not(f"b{i}2"))) for i in range(LONGS))
+    met = hot_split_join(every, materialize(rare, "rare"), "word", "df", keep_key=False)
+    cand = met.where((F.col("m1") < F.col("m2")) | ((F.col("m1") == F.col("m2")) & (F.col("h1") < F.col("h2")))).where((F.col("m1") - lacks) * parts >= F.col("m1") * whole).select("h1", "h2").distinct()
     a, b = sets.select(F.col("h").alias("h1"), F.col("x").alias("x1"), F.col("w").alias("w1")), sets.select(F.col("h").alias("h2"), F.col("x").alias("x2"), F.col("w").alias("w2"))
     j = cand.join(a, "h1").join(b, "h2").withColumn("shared", F.size(F.array_intersect("w1", "w2"))).withColumn("smaller", F.least(F.size("w1"), F.size("w2")))
     got = j.where(F.col("shared") * parts >= F.col("smaller") * whole)
