@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainmill.functions.text import casual, fill
-from grainmill.session import materialize
+from grainmill.session import hot_split_join, materialize
 
 
 def entity_questions(entities: DataFrame, templates: DataFrame, name: str, facts: dict[str, str]) -> DataFrame:
@@ -175,44 +176,53 @@ def balance(pairs: DataFrame, target: int = 5, key: tuple[str, ...] = ("prefix",
     choice is one aggregation over all its questions, with the same result.
     """
     x = pairs.where(F.col("a").isNotNull()).select(*key, F.coalesce(q, F.lit("")).alias("q"), F.col(order).alias("o"))
-    n = x.groupBy(*key).agg(F.count("*").alias("n"))
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in key]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    marked = x.alias("l").join(n.alias("r"), cond).select(*[F.col(f"l.{k}") for k in key], "q", "o", "n")
+    # one text for each key, in which null differs from every value
+    x = x.withColumn("_k", F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")) for k in key]))
+    n = materialize(x.groupBy("_k").agg(F.count("*").alias("n")).withColumn("rows", F.col("n")), "sizes")
+    marked = hot_split_join(x, n, "_k", "rows", keep_key=False)
     exact = marked.where(F.col("n") == target).select(*key, "q", F.lit(False).alias("made"))
     few = marked.where(F.col("n") < target).groupBy(*key, "q").agg(F.min("o").alias("o"), F.count("*").alias("k"))
     many = marked.where(F.col("n") > target).groupBy(*key, "q").agg(F.min("o").alias("o"), F.lit(1).cast("long").alias("k"))
     many = _choose_crowded(materialize(many, "many"), list(key), target)
     schema = many.select(*key, "q").schema.simpleString()[7:-1].replace(":", " ")
 
+    answer = key.index("a")
+
     def finish(batches):
-        for g in _groups(batches, list(key)):
-            g = g.sort_values(["o", "q"], kind="stable")
-            have = diverse([q for q, k in zip(g["q"], g["k"]) for _ in range(k)], target)
-            made = paraphrases(g["a"].iloc[0], have, target - len(have))
-            base = {k: [g[k].iloc[0]] * (len(have) + len(made)) for k in key}
-            yield pd.DataFrame(base | {"q": have + made, "made": [False] * len(have) + [True] * len(made)})
-
-    together = few.unionByName(many).repartition(*key).sortWithinPartitions(*key)
+        for b in batches_of(finished(batches), 5_000):
+            yield pd.DataFrame(b, columns=[*key, "q", "made"])
+
+    def finished(batches):
+        for k, rows in _groups(batches, list(key), ["q", "k"]):
+            have = diverse([q for q, n in rows for _ in range(n)], target)
+            made = paraphrases(k[answer], have, target - len(have))
+            yield from ((*k, q, False) for q in have)
+            yield from ((*k, q, True) for q in made)
+
+    together = few.unionByName(many).repartition(*key).sortWithinPartitions(*key, F.asc_nulls_last("o"), "q")
     return exact.unionByName(together.mapInPandas(finish, schema + ", made boolean"))
 
 
-def _groups(batches, key: list[str]):
-    """The runs of equal keys of sorted batches, each as one frame."""
-    rest = None
+def batches_of(rows, n: int):
+    """Lists of n rows at most."""
+    it = iter(rows)
+    while some := list(islice(it, n)):
+        yield some
+
+
+def _groups(batches, key: list[str], values: list[str]):
+    """(key, rows of values) of the runs of equal keys of sorted batches."""
+    last, held = None, []
     for b in batches:
-        if not len(b):
-            continue
-        b = b if rest is None else pd.concat([rest, b], ignore_index=True)
-        k = b[key].astype(object).where(b[key].notna(), "\0")
-        new = (k != k.shift()).any(axis=1).to_numpy().nonzero()[0]
-        for x, y in zip(new[:-1], new[1:]):
-            yield b.iloc[x:y]
-        rest = b.iloc[new[-1] :]
-    if rest is not None:
-        yield rest
+        ks = zip(*[b[c].astype(object).where(b[c].notna(), None).tolist() for c in key])
+        for k, v in zip(ks, zip(*[b[c].tolist() for c in values])):
+            if k != last:
+                if held:
+                    yield last, held
+                last, held = k, []
+            held.append(v)
+    if held:
+        yield last, held
 
 
 def _choose_crowded(many: DataFrame, key: list[str], target: int) -> DataFrame:
