@@ -29,6 +29,13 @@ def domain_vocabulary(
     return kept.select("word", "n").unionByName(more.select("word", F.coalesce("n", F.lit(1)).cast("long").alias("n"))).orderBy(F.desc("n"), "word").limit(max_words)
 
 
+def token_candidates(words: DataFrame, tokens: DataFrame, common: DataFrame, least: int = 5) -> DataFrame:
+    """(word): words in lower-case letters, long enough, not common, and not yet a token in either letter case."""
+    w = words.where((F.length("word") >= least) & F.col("word").rlike("^[a-z]+$")).select("word").distinct()
+    have = tokens.select(F.lower("token").alias("word")).distinct()
+    return w.join(common.select("word"), "word", "left_anti").join(have, "word", "left_anti")
+
+
 def ordered_distinct(df: DataFrame, value: str, order: str) -> DataFrame:
     """(value, first): every value once, with its first place."""
     return df.groupBy(value).agg(F.min(order).alias("first"))

@@ -399,3 +399,17 @@ def _(spark, sf):
 def _(spark, sf):
     j = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     return j.groupBy("n_name").agg(capped_list(F.array_sort(F.collect_list("s_name"))).alias("suppliers"))
+
+
+@query("word_top", ", w AS (SELECT unnest(regexp_extract_all(lower(a), '[a-z0-9]+')) AS word FROM A) SELECT word, count(*) AS n FROM w GROUP BY word ORDER BY n DESC, word DESC LIMIT 25", "A")
+def _(spark, sf):
+    w = answers(spark, sf).select(F.explode(gate_tokens("a")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return op.top(w, 25, F.desc("n"), F.desc("word"))
+
+
+@query("topics_ranked", "SELECT topic, n, row_number() OVER (ORDER BY n DESC, topic)::BIGINT AS place, n < 20 AS thin FROM (SELECT topic, count(*) AS n FROM documents WHERE topic IS NOT NULL GROUP BY topic)")
+def _(spark, sf):
+    """Topics by falling number of documents; a topic with fewer than twenty is thin."""
+    n = documents(spark, sf).where("topic is not null").groupBy("topic").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.orderBy(F.desc("n"), "topic")).cast("long")  # one row for each topic
+    return n.select("topic", "n", place.alias("place"), (F.col("n") < 20).alias("thin"))

@@ -241,10 +241,15 @@ def _(spark, sf):
     return d.join(e, "word", "left_semi")
 
 
-@query("token_candidates", f"{_SETS} SELECT word FROM d WHERE length(word) >= 5 AND regexp_matches(word, '^[a-z]+$') AND word NOT IN (SELECT word FROM e)")
+@query(
+    "token_candidates",
+    f"{_SETS}, k AS (SELECT lower(t) AS t FROM (SELECT unnest(keywords) AS t FROM topic_rules UNION ALL SELECT n_name FROM nation)) SELECT word FROM d WHERE length(word) >= 5 AND regexp_matches(word, '^[a-z]+$') AND word NOT IN (SELECT word FROM e) AND word NOT IN (SELECT t FROM k)",
+)
 def _(spark, sf):
+    """Tokens so far are the keywords and the nations' names in capitals; the words of the events count as common."""
     d, e = _sets(spark, sf)
-    return d.where("length(word) >= 5 and rlike(word, '^[a-z]+$')").join(e, "word", "left_anti")
+    t = table(spark, sf, "topic_rules").select(F.explode("keywords").alias("token")).unionByName(table(spark, sf, "nation").select(F.col("n_name").alias("token")))
+    return vo.token_candidates(d, t, e)
 
 
 @query("ordered_distinct_answers", "SELECT a, min(answer_id) AS first FROM A WHERE a IS NOT NULL GROUP BY a", "A")

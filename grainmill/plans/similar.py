@@ -10,9 +10,13 @@ from grainmill.operators import graph as gr
 from grainmill.operators import packing as pk
 from grainmill.operators import profile as op
 from grainmill.operators import similarity as si
+from grainmill.operators import tokenize as tk
 from grainmill.plans.base import answers, blocks, documents, pairs, query, table
 from grainmill.plans.profile import S, W
 
+#: The vocabulary that the queries on tokens use.
+VOCABULARY_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 _NEAR = f""", t AS (SELECT DISTINCT a FROM A WHERE {S('a')} <> ''), s AS (SELECT a, list_distinct({W('lower(trim(a, chr(32)))')}) AS w FROM t),
  near AS (SELECT x.a AS a, y.a AS b, len(list_intersect(x.w, y.w)) AS shared, least(len(x.w), len(y.w)) AS smaller FROM s x JOIN s y ON x.a < y.a)"""
 
@@ -329,9 +333,14 @@ def _(spark, sf):
 # ---- token blocks ----
 
 
-@query("label_masks")
+@query(
+    "label_masks",
+    r"""WITH d AS (SELECT doc_id, text, unnest(string_split(text, chr(10) || 'Q:')) AS part FROM documents WHERE text <> ''),
+    p AS (SELECT doc_id, text, part, regexp_matches(part, '\n(?:A|Do):') AS said FROM d)
+    SELECT doc_id, length(any_value(text)) AS n, CASE WHEN bool_or(said) THEN sum(CASE WHEN said THEN length(regexp_replace(part, '(?s)^.*?\n(?:A|Do):', '')) ELSE 0 END) ELSE length(any_value(text)) END::BIGINT AS n_trained FROM p GROUP BY doc_id""",
+)
 def _(spark, sf):
-    """Code points stand for token ids; checked against a plain version in the tests."""
+    """Code points stand for token ids."""
     ids = F.transform(F.split("text", ""), lambda x: F.ascii(x))
     d = documents(spark, sf).where("text <> ''").select("doc_id", ids.alias("ids"))
     labels = pk.label_mask(d, "ids", [[10, 65, 58], [10, 68, 111, 58]], [81, 58], [10, 81, 58])
@@ -362,6 +371,19 @@ def _(spark, sf):
     return pk.pack_entries(d, "ids", "labels", 32, 0)
 
 
+@query("token_blocks")
+def _(spark, sf):
+    """The answers of each path as ids of a public vocabulary, in blocks of 128; SQL has no tokenizer."""
+    a = answers(spark, sf).where("a is not null and path is not null").groupBy("path", "line_no").agg(F.min("a").alias("a"))
+    return pk.chunk(tk.tokenize(a, "a", VOCABULARY_FILE), "path", "line_no", "ids", 128)
+
+
+@query("tokenized_answers")
+def _(spark, sf):
+    """Ids of every answer, the first 110 of them; checked against the public library in the tests."""
+    return tk.tokenize(answers(spark, sf).select("answer_id", "a"), "a", VOCABULARY_FILE, longest=110).select("answer_id", "ids")
+
+
 @query("train_eval_split")
 def _(spark, sf):
     """By hash, so SQL of another engine can't repeat it; the tests check that it is stable and close to the share."""

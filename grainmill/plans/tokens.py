@@ -54,6 +54,13 @@ def _(spark, sf):
     return v.select(unescape_token("token").alias("token"), "id")
 
 
+@query("tokenizer_stats", f"WITH {_TOKENS} SELECT (SELECT count(*) FROM a) AS n_tokens, (SELECT max(length(token)) FROM a) AS longest, (SELECT count(*) FROM m WHERE l NOT LIKE '% %') AS n_merges")
+def _(spark, sf):
+    t = _tokenizer(spark, sf)
+    v = src.tokenizer_vocab(t).agg(F.count("*").alias("n_tokens"), F.max(F.length("token")).alias("longest"))
+    return v.join(src.tokenizer_merges(t).agg(F.count("*").alias("n_merges")), F.lit(True))  # one row each
+
+
 _CODE = """c AS (SELECT topic, unnest(keywords) AS w FROM topic_rules)"""
 
 

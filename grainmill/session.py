@@ -46,6 +46,21 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or made
 
 
+_WRITTEN: list[str] = []
+
+
+def drop_written(spark: SparkSession) -> int:
+    """Delete the tables that ``materialize`` has written for this program, and say how many.
+
+    Call it once the results that were built on them have been written elsewhere: a DataFrame still reads its tables.
+    """
+    n = len(_WRITTEN)
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def materialize(df: DataFrame, what: str = "t") -> DataFrame:
     """Write df as a table in the shared folder and read it back.
 
@@ -55,6 +70,7 @@ def materialize(df: DataFrame, what: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/grainmill-{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -89,4 +105,4 @@ def ratio_bucket(*cols: Column | str, n: int) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
 
 
-__all__ = ["HOT_SHARE", "hot_split_join", "local_session", "materialize", "ratio_bucket", "shared_folder"]
+__all__ = ["HOT_SHARE", "drop_written", "hot_split_join", "local_session", "materialize", "ratio_bucket", "shared_folder"]

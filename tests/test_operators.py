@@ -432,3 +432,36 @@ def test_rewritten_lines_keep_their_order(spark, tmp_path):
     files = sorted((tmp_path / "o" / "path=hot").glob("part-*"))
     got = [x for f in files for x in f.read_text().splitlines()]
     assert got == ["A: new" if i % 2 else f"Q: q{i}" for i in range(500)]
+
+
+def test_tokenize_equals_the_public_library(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    from grainmill.operators.tokenize import tokenize
+
+    t = tokenizers.Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json")
+    t.encode_special_tokens = True
+    said = ["The pump's lid.", "", None, " \n x", "<|endoftext|> é 日本", "a " * 500]
+    df = spark.createDataFrame(list(enumerate(said)), "i int, a string")
+    got = {x.i: x.ids for x in tokenize(df, "a", "/opt/tokenizers/byte_bpe_50k.tiktoken").collect()}
+    assert got == {i: None if a is None else t.encode(a, add_special_tokens=False).ids for i, a in enumerate(said)}
+    assert max(len(x.ids or []) for x in tokenize(df, "a", "/opt/tokenizers/byte_bpe_50k.tiktoken", longest=7).collect()) == 7
+
+
+def test_token_candidates(spark):
+    w = spark.createDataFrame([("kiln",), ("furnace",), ("Furnace",), ("turbine",), ("nozzle",), ("valve2",), (None,)], "word string")
+    t = spark.createDataFrame([("TURBINE",), ("x",)], "token string")
+    c = spark.createDataFrame([("nozzle",)], "word string")
+    assert [x.word for x in vocab.token_candidates(w, t, c).collect()] == ["furnace"]
+
+
+def test_written_tables_can_be_dropped(spark):
+    import os
+
+    from grainmill import session
+
+    kept = session._WRITTEN[:]
+    session._WRITTEN.clear()
+    t = materialize(spark.range(5), "gone")
+    path = t.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and session.drop_written(spark) == 1 and not os.path.exists(path)
+    session._WRITTEN.extend(kept)
