@@ -144,12 +144,13 @@ def _(spark, sf):
 
 @query(
     "contradictions",
-    f"""SELECT {_NORM.format('q')} AS q, count(DISTINCT {_NORM.format('a')}) AS n_answers, count(*) AS n FROM B
-    WHERE type = 'qa' AND {S('q')} <> '' AND a IS NOT NULL GROUP BY 1 HAVING count(DISTINCT {_NORM.format('a')}) > 1""",
+    f"""SELECT {_NORM.format('q')} AS q, count(DISTINCT {_NORM.format('a')}) AS n_answers, count(*) AS n FROM (SELECT q, a FROM B WHERE type = 'qa' UNION ALL SELECT q, a FROM (SELECT DISTINCT pair_id, path, line_no, q, a, prefix FROM pairs))
+    WHERE {S('q')} <> '' AND a IS NOT NULL GROUP BY 1 HAVING count(DISTINCT {_NORM.format('a')}) > 1""",
     "B",
 )
 def _(spark, sf):
-    b = blocks(spark, sf).where("type = 'qa' and a is not null").where(strip("q") != "")
+    both = blocks(spark, sf).where("type = 'qa'").select("q", "a").unionByName(pairs(spark, sf).select("q", "a"))
+    b = both.where(F.col("a").isNotNull() & (strip("q") != ""))
     g = b.groupBy(F.lower(strip("q")).alias("q"), F.lower(strip("a")).alias("a")).agg(F.count("*").alias("n"))
     return g.groupBy("q").agg(F.count("*").alias("n_answers"), F.sum("n").alias("n")).where("n_answers > 1")
 
@@ -346,9 +347,11 @@ def _(spark, sf):
     )
 
 
-@query("squeezed_answers", r"SELECT trim(regexp_replace(a, '[ \t\n\f\r]+', ' ', 'g')) AS a, count(*) AS n, count(DISTINCT a) AS forms FROM A WHERE a IS NOT NULL GROUP BY 1 HAVING count(DISTINCT a) > 1", "A")
+@query("squeezed_answers", r"SELECT trim(regexp_replace(a, '[ \t\n\f\r]+', ' ', 'g'), ' ') AS a, count(*) AS n, count(DISTINCT a) AS forms FROM (SELECT q AS a FROM B UNION ALL SELECT a FROM B UNION ALL SELECT text FROM B) WHERE a IS NOT NULL GROUP BY 1 HAVING count(DISTINCT a) > 1", "B")
 def _(spark, sf):
-    g = answers(spark, sf).where("a is not null").groupBy("a").agg(F.count("*").alias("n"))
+    """Questions, answers and prose of the blocks that differ in white space only."""
+    x = blocks(spark, sf).select(F.explode(F.array("q", "a", "text")).alias("a"))
+    g = x.where("a is not null").groupBy("a").agg(F.count("*").alias("n"))
     return g.groupBy(squeeze("a").alias("a")).agg(F.sum("n").alias("n"), F.count("*").alias("forms")).where("forms > 1")
 
 

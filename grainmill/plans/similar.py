@@ -82,7 +82,8 @@ _SQ = r"trim(regexp_replace({0}, '[ \t\n\f\r]+', ' ', 'g'), ' ')"
 
 @query(
     "canonical_merge",
-    f""", c AS (SELECT response AS a, count(*) AS n, min(block_id) AS first FROM (SELECT block_id, coalesce(a, "do") AS response FROM B) WHERE {S('response')} <> '' GROUP BY response),
+    f""", r AS (SELECT block_id, coalesce(a, "do") AS response FROM B UNION ALL SELECT doc_id, unnest(regexp_extract_all(text, '(?:Type|Run|Use) [a-z]+(?: [a-z0-9]+)?')) FROM documents),
+    c AS (SELECT response AS a, count(*) AS n, min(block_id) AS first FROM r WHERE {S('response')} <> '' GROUP BY response),
     t AS (SELECT a, n, first, {_SQ.format('a')} AS s FROM c),
     k AS (SELECT *, regexp_matches(s, '^(?:Type|Run|Use) .') AS led, regexp_replace(s, '^(?:Type|Run|Use) (.)', '\\1') AS key FROM t),
     g AS (SELECT led, key, count(*) AS m, arg_max(s, (starts_with(s, 'Type '), n, -length(a), -first)) AS w FROM k GROUP BY led, key HAVING count(*) > 1),
@@ -91,7 +92,10 @@ _SQ = r"trim(regexp_replace({0}, '[ \t\n\f\r]+', ' ', 'g'), ' ')"
     "B",
 )
 def _(spark, sf):
-    b = blocks(spark, sf).select("block_id", F.coalesce("a", "do").alias("a"))
+    """The responses, and the commands that documents name."""
+    said = F.regexp_extract_all("text", F.lit("((?:Type|Run|Use) [a-z]+(?: [a-z0-9]+)?)"), F.lit(1))
+    named = documents(spark, sf).select(F.col("doc_id").alias("block_id"), F.explode(said).alias("a"))
+    b = blocks(spark, sf).select("block_id", F.coalesce("a", "do").alias("a")).unionByName(named)
     return si.canonical_merge(op.frequency(b, "a", "block_id"))
 
 
