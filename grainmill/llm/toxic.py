@@ -66,6 +66,12 @@ def plain(w: str) -> str:
     return w
 
 
+def _joined(m: re.Match) -> str:
+    """A word written letter by letter; its first letter may be a word of its own (a, i), so both readings are given."""
+    w = _SPACER.sub("", m[0])
+    return f"{w} {w[1:]}" if w[0] in "ai" and len(w) > 4 else w
+
+
 def suspects(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Which of the texts may have letters written apart, and which a letter three times in a row; all that aren't ASCII."""
     ascii_ = np.array([t.isascii() for t in texts], bool)
@@ -90,7 +96,7 @@ def raw_tokens(texts: list[str]) -> Iterator[list[str]]:
     low = [t.lower() if t.isascii() else unicodedata.normalize("NFKC", _ZERO.sub("", t)).casefold() for t in texts]
     for t, apart, triple in zip(low, *suspects(low)):
         if apart:
-            t = _SPACED.sub(lambda m: _SPACER.sub("", m[0]), t)
+            t = _SPACED.sub(_joined, t)
         if triple:
             t = _LONG.sub(r"\1", t)
         yield _TOKEN.findall(t)
