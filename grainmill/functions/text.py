@@ -136,16 +136,16 @@ def first_rule(c: Column | str, rules: list[tuple[str, frozenset[str] | set[str]
 NO_TOPIC = frozenset("device command current other same first last next most some that this which each every".split())
 #: What an answer is about, in this order: the subject of its first sentence, the command it names, a name in capitals, a noun after "the".
 TOPIC_RULES = [
-    (r"^(?:The )?([A-Z][\w-]{1,20}(?:\s+(?:sensor|chip|module|controller|camera|radio))?)\s+(?:is|are|uses|has|provides|detects|measures)\s", frozenset()),
-    (r"^Type (\w+)", frozenset()),
-    (r"\b([A-Z][A-Z0-9]{2,}(?:-\w+)?)\b", frozenset()),
-    (r"\b[tT]he (\w{4,})", NO_TOPIC),
+    (r"^(?:The )?([A-Z][A-Za-z0-9_-]{1,20}(?:[ \t\n\f\r]+(?:sensor|chip|module|controller|camera|radio))?)[ \t\n\f\r]+(?:is|are|uses|has|provides|detects|measures)[ \t\n\f\r]", frozenset()),
+    (r"^Type ([A-Za-z0-9_]+)", frozenset()),
+    (r"(?:^|[^A-Za-z0-9_])([A-Z][A-Z0-9]{2,}(?:-[A-Za-z0-9_]+)?)(?:$|[^A-Za-z0-9_])", frozenset()),
+    (r"(?:^|[^A-Za-z0-9_])[tT]he ([A-Za-z0-9_]{4,})", NO_TOPIC),
 ]
 #: What an answer tells to do: the aim of its command, the command that there isn't, then what is changed.
 ACTION_RULES = [
-    (r"^(?:Type|Use) \w[\w\s]* to ([^.,]+)", frozenset()),
-    (r"\bno (\w[\w\s]{2,20}?) command", frozenset()),
-    (r"\b((?:clear|delete|remove|reset|update|change|set|configure|enable|disable) (?:the )?\w+)", frozenset()),
+    (r"^(?:Type|Use) [A-Za-z0-9_][A-Za-z0-9_ \t\n\f\r]* to ([^.,]+)", frozenset()),
+    (r"(?:^|[^A-Za-z0-9_])no ([A-Za-z0-9_][A-Za-z0-9_ \t\n\f\r]{2,20}?) command", frozenset()),
+    (r"(?:^|[^A-Za-z0-9_])((?:clear|delete|remove|reset|update|change|set|configure|enable|disable) (?:the )?[A-Za-z0-9_]+)", frozenset()),
 ]
 
 
