@@ -19,7 +19,7 @@ from grainmill.session import materialize
 #: Two texts are near when they share at least WHOLE/PARTS of the smaller word set.
 PARTS, WHOLE = 4, 3
 #: Words and texts of a block, about; blocks of a small table, so that there are tasks enough.
-BLOCK_WORDS, BLOCK_TEXTS, LEAST_BLOCKS = 3_000_000, 65_536, 5
+BLOCK_WORDS, BLOCK_TEXTS, LEAST_BLOCKS = 2_500_000, 50_000, 5
 #: Word sets up to SHORT are counted by bitsets, those above WIDE by a scan of the block, the others meet by slots.
 SHORT, WIDE = 16, 512
 #: Classes of words; a slot is two words of one class.
@@ -60,7 +60,7 @@ class _Side:
         self.rows_of, self.df = by_word % self.r, np.diff(self.at)
         seen = np.zeros((self.r, 256), np.uint8)
         seen[self.row, (known.view(np.uint64) >> np.uint64(40)).astype(np.int64)[self.word] % 256] = 1
-        self.bits = np.packbits(seen, axis=1, bitorder="little").view(np.uint64)
+        self.bits = np.packbits(seen, axis=1, bitorder="little").view(np.uint64).T.copy()
 
 
 def _larger(s: _Side, g: _Side, i: np.ndarray, j: np.ndarray, before: bool | None) -> np.ndarray:
@@ -142,16 +142,18 @@ def _compared(s: _Side, g: _Side, row: np.ndarray, lo: np.ndarray, hi: np.ndarra
     count = hi - lo
     some = count > 0
     row, lo, count = row[some], lo[some], count[some]
-    total = np.cumsum(count)
+    total, may_lack = np.cumsum(count), s.n - _at_least(s.n)
     k = 0
     while k < len(row):
         e = max(k + 1, int(np.searchsorted(total, (total[k - 1] if k else 0) + CHUNK)))
-        i, j = np.repeat(row[k:e], count[k:e]), found[_spans(lo[k:e], count[k:e])] % g.r
+        i, j = np.repeat(row[k:e], count[k:e]), found[_spans(lo[k:e], count[k:e])]
         k = e
-        ok = _larger(s, g, i, j, before) & (g.n[j] <= WIDE)
-        i, j = i[ok], j[ok]
-        lacks = np.bitwise_count(s.bits[i] & ~g.bits[j]).sum(axis=1)
-        ok = lacks <= s.n[i] - _at_least(s.n[i])
+        # words of i that j lacks: half of the bitmap ends most candidates
+        lacks = np.bitwise_count(s.bits[0][i] & ~g.bits[0][j]).astype(np.int16) + np.bitwise_count(s.bits[1][i] & ~g.bits[1][j])
+        ok = lacks <= may_lack[i]
+        i, j, lacks = i[ok], j[ok], lacks[ok]
+        lacks += np.bitwise_count(s.bits[2][i] & ~g.bits[2][j]) + np.bitwise_count(s.bits[3][i] & ~g.bits[3][j])
+        ok = (lacks <= may_lack[i]) & _larger(s, g, i, j, before) & (g.n[j] <= WIDE)
         yield np.unique(i[ok] * g.r + j[ok])
 
 
@@ -171,7 +173,7 @@ def _long(s: _Side, g: _Side, before: bool | None) -> Iterator[tuple]:
     pair = np.minimum(word, other)[two] * g.v + np.maximum(word, other)[two]
     order = np.argsort(pair)
     pair, pair_row = pair[order], row[two][order]
-    left = [*_compared(s, g, pair_row, np.searchsorted(held, pair * g.r), np.searchsorted(held, (pair + 1) * g.r), held, before)]
+    left = [*_compared(s, g, pair_row, np.searchsorted(held, pair * g.r), np.searchsorted(held, (pair + 1) * g.r), held % g.r, before)]
     left += _compared(s, g, row[~two], g.at[word[~two]], g.at[word[~two] + 1], g.rows_of, before)
     left = np.unique(np.concatenate([np.empty(0, np.int64), *left]))
     step = CHUNK // WIDE
